@@ -286,7 +286,7 @@ def compute_indicators(
     at most one row per known key, which bounds its broadcast and the maps.
     """
     checked, _ = validate_indicators(spec.dropDuplicates(["key"]), datetime_match=str(years[0]))
-    kinds = F.broadcast(parse_value_lists(classify_indicators(checked)))
+    kinds = F.broadcast(parse_value_lists(classify_indicators(checked)).drop("value"))
     pieces = zone_pieces(zones.select("zone_id", "geometry"))
     pieces_m = project_zones(pieces)
     asked = kinds.agg(F.collect_list(F.struct("key", "kind")).alias("s")).scalar()

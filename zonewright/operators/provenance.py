@@ -79,13 +79,15 @@ def provenance_rows(
     )
 
 
-def read_provenance(spark: SparkSession, root: str) -> DataFrame:
-    """All provenance documents below ``root`` as a table of runs."""
+def read_provenance(
+    spark: SparkSession, root: str, pattern: str = "*.provenance.json"
+) -> DataFrame:
+    """All provenance documents below ``root``, one per file, as a table of runs."""
     return (
         spark.read.schema(PROVENANCE_SCHEMA)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.provenance.json")
+        .option("pathGlobFilter", pattern)
         .json(root)
     )
 

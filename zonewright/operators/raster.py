@@ -177,13 +177,19 @@ def percent_of_extent(pixels: DataFrame, by: list[str], matching: Column) -> Dat
 
 
 def polygonize_runs(
-    pixels: DataFrame, value: float, res: float, by: list[str], block: int = 1 << 16
+    pixels: DataFrame,
+    value: float,
+    res: float,
+    by: list[str],
+    origin: tuple[float, float] = (0.0, 0.0),
+    block: int = 1 << 16,
 ) -> DataFrame:
     """Cells of one value -> one rectangle per horizontal run.
 
     Gaps and islands on (``by``, row, column block). A block of ``block`` columns
     bounds the window group; a run that crosses a block border gives two
-    rectangles that touch, with the same union. Input has one row per cell.
+    rectangles that touch, with the same union. Input has one row per cell;
+    ``origin`` is the lower left corner of cell (0, 0).
     """
     row = Window.partitionBy(*by, "iy", "_block").orderBy("ix")
     runs = (
@@ -196,10 +202,10 @@ def polygonize_runs(
     )
     bounds = runs.withColumns(
         {
-            "minx": F.col("ix_first") * float(res),
-            "miny": F.col("iy") * float(res),
-            "maxx": (F.col("ix_last") + 1) * float(res),
-            "maxy": (F.col("iy") + 1) * float(res),
+            "minx": F.col("ix_first") * float(res) + origin[0],
+            "miny": F.col("iy") * float(res) + origin[1],
+            "maxx": (F.col("ix_last") + 1) * float(res) + origin[0],
+            "maxy": (F.col("iy") + 1) * float(res) + origin[1],
         }
     )
     return bounds.withColumn("geometry", g.rectangle(*(F.col(c) for c in BOUNDS)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from zonewright.plans import (  # noqa: F401
     geometry_queries,
     indicator_queries,
+    io_queries,
+    product_queries,
     raster_queries,
 )
 from zonewright.plans.registry import CHECKS, QUERIES

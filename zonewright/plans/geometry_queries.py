@@ -233,7 +233,8 @@ def intersects(spark, sf_dir):
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = mosaic(inputs.pixels(spark, sf_dir), ["ix", "iy", "yr"], "pixel_id")
-    return polygonize_runs(cells, 1.0, inputs.PIXEL_M, ["yr"])
+    corner = -100.0 * inputs.PIXEL_M
+    return polygonize_runs(cells, 1.0, inputs.PIXEL_M, ["yr"], (corner, corner))
 
 
 RUNS_SQL = """runs AS (SELECT yr, iy, MIN(ix) AS ix_first, MAX(ix) AS ix_last FROM (

@@ -374,7 +374,7 @@ def zonal_mean(spark, sf_dir):
     "raster_vs_vector",
     tables_sql("pixel_hits", "zone_edges")
     + f""", {CLIPPED_SQL}, sums AS (SELECT zone_id, yr, COUNT(*)*2.5e9 AS a FROM pixel_hits WHERE value=1 GROUP BY 1,2)
-    SELECT s.zone_id, s.yr, ROUND(s.a/1e6,3) AS raster_km2, ROUND(c.a/1e6,3) AS vector_km2, ROUND((s.a-c.a)/1e6,3) AS diff_km2
+    SELECT s.zone_id, s.yr, ROUND(s.a/1e6,3) AS raster_km2, ROUND(c.a/1e6,3) AS vector_km2, ROUND((s.a-c.a)/1e6,3)+0e0 AS diff_km2
     FROM sums s JOIN clipped c ON c.zone_id=s.zone_id AND c.yr=s.yr AND c.a>1e3""",
 )
 def raster_vs_vector(spark, sf_dir):
