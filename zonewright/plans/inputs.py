@@ -118,9 +118,9 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scene per 20 x 20 block and year, bounds in metres."""
-    block = 20 * PIXEL_M
-    col, row = F.floor(F.col("ix") / 20), F.floor(F.col("iy") / 20)
+    """One scene per 40 x 40 block and year, bounds in metres."""
+    block = 40 * PIXEL_M
+    col, row = F.floor(F.col("ix") / 40), F.floor(F.col("iy") / 40)
     return (
         pixels(spark, sf_dir)
         .groupBy(col.alias("bx"), row.alias("by"), "yr")
@@ -132,10 +132,10 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("bx") % 2 == 0, "even").otherwise("odd").alias("collection"),
             "yr",
             "n_pixels",
-            ((F.col("bx") - 5) * float(block)).alias("minx"),
-            ((F.col("by") - 5) * float(block)).alias("miny"),
-            ((F.col("bx") - 4) * float(block)).alias("maxx"),
-            ((F.col("by") - 4) * float(block)).alias("maxy"),
+            ((F.col("bx") - 2.5) * float(block)).alias("minx"),
+            ((F.col("by") - 2.5) * float(block)).alias("miny"),
+            ((F.col("bx") - 1.5) * float(block)).alias("maxx"),
+            ((F.col("by") - 1.5) * float(block)).alias("maxy"),
             F.make_timestamp_ntz("yr", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias(
                 "start_datetime"
             ),
@@ -250,8 +250,8 @@ _SQL = {
   GROUP BY ALL HAVING COUNT(*)%2=1""",
     "scenes": """SELECT 'tile_' || bx || '_' || "by" || '_' || yr || '_v3.tif' AS scene_id,
   CASE WHEN bx%2=0 THEN 'even' ELSE 'odd' END AS collection, yr, n_pixels,
-  (bx-5)*1000000e0 AS minx, ("by"-5)*1000000e0 AS miny, (bx-4)*1000000e0 AS maxx, ("by"-4)*1000000e0 AS maxy, bx
-  FROM (SELECT CAST(FLOOR(ix/20) AS BIGINT) AS bx, CAST(FLOOR(iy/20) AS BIGINT) AS "by", yr, COUNT(*) AS n_pixels
+  (bx-2.5e0)*2000000e0 AS minx, ("by"-2.5e0)*2000000e0 AS miny, (bx-1.5e0)*2000000e0 AS maxx, ("by"-1.5e0)*2000000e0 AS maxy, bx
+  FROM (SELECT CAST(FLOOR(ix/40) AS BIGINT) AS bx, CAST(FLOOR(iy/40) AS BIGINT) AS "by", yr, COUNT(*) AS n_pixels
   FROM pixels GROUP BY 1,2,3)""",
     "product_values": """SELECT l.l_suppkey AS zone_id, s.s_name AS zone_name, YEAR(l.l_shipdate) AS year,
   CASE l.l_returnflag WHEN 'A' THEN 'sum-mangrove-area' WHEN 'N' THEN 'sum-seagrass-area' ELSE 'sum-reef-area' END AS indicator,

@@ -7,16 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from zonewright.functions import geometry as g
 from zonewright.operators import provenance
 from zonewright.operators.geometry import with_centroid
+from zonewright.operators.raster import mosaic
 from zonewright.plans import inputs
 from zonewright.plans.geometry_queries import zone_parts
 from zonewright.plans.indicator_queries import PARTITIONED_SQL, partitioned_points
 from zonewright.plans.inputs import tables_sql
-from zonewright.plans.product_queries import (
-    _PROVENANCE_COLUMNS,
-    _PROVENANCE_SQL,
-    provenance_table,
-)
-from zonewright.plans.raster_queries import cells
 from zonewright.plans.registry import query
 from zonewright.session import scratch_path
 from zonewright.sources import files, scenes, sinks, tables
@@ -342,8 +337,6 @@ def write_partitioned(spark, sf_dir):
     SELECT ix, iy, CASE WHEN ix BETWEEN 30 AND 90 AND iy BETWEEN 15 AND 120 THEN value+10e0 ELSE value END AS value FROM one""",
 )
 def write_region(spark, sf_dir):
-    from zonewright.operators.raster import mosaic
-
     root = scratch_path(spark, "raster")
     world = mosaic(inputs.pixels(spark, sf_dir), ["ix", "iy"], "pixel_id").select("ix", "iy", "value")
     sinks.write_region(world, root, chunk=40)
@@ -372,10 +365,30 @@ def tile_pyramid(spark, sf_dir):
     return tiles.select("z", "tile_x", "tile_y", "feature_id")
 
 
-@query("read_provenance", _PROVENANCE_SQL)
+@query(
+    "read_provenance",
+    """SELECT p_brand||' '||p_type AS id, 'parquet' AS "dataType", CAST(SUM(p_size) AS BIGINT) AS "dataSize",
+    's3://data/'||MIN(p_partkey) AS "dataUrl", 's3://data/'||MIN(p_partkey) AS "sourceUrl" FROM part GROUP BY p_brand, p_type""",
+)
 def read_provenance(spark, sf_dir):
+    """One document per brand and type, written side by side and read as a table of runs."""
+    sets = inputs.table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(
+        F.sum("p_size").alias("size"), F.min("p_partkey").alias("first")
+    )
+    url = F.concat(F.lit("s3://data/"), "first")
+    info = sets.select(
+        F.concat_ws(" ", "p_brand", "p_type").alias("id"),
+        F.lit("parquet").alias("data_type"),
+        url.alias("data_url"),
+        url.alias("path"),
+        "size",
+        F.lit('"tag"').alias("tag"),
+    )
+    records = provenance.provenance_rows(info, "2024-01-01T00:00:00Z", "https://code/tree/abc/", "image:1")
     root = scratch_path(spark, "provenance")
-    provenance_table(spark, sf_dir).select(
-        F.concat("id", F.lit(".provenance.json")).alias("file"), F.to_json(F.struct("*")).alias("value")
-    ).repartition(8, "file").write.partitionBy("file").text(root)
-    return provenance.read_provenance(spark, root, "*.txt").select(*_PROVENANCE_COLUMNS)
+    records.select("id", F.to_json(F.struct("*")).alias("value")).withColumnRenamed(
+        "id", "file"
+    ).write.partitionBy("file").text(root)
+    return provenance.read_provenance(spark, root, "*.txt").select(
+        "id", "dataType", "dataSize", "dataUrl", "sourceUrl"
+    )

@@ -115,7 +115,7 @@ def tile_pyramid(
         share = (1 - F.log(F.tan(angle) + 1 / F.cos(angle)) / math.pi) / 2
         return F.least(F.greatest(F.floor(share * n), F.lit(0)), n - 1).cast("int")
 
-    n = F.shiftleft(F.lit(1), F.col("z"))
+    n = F.pow(F.lit(2.0), F.col("z"))
     tiles = (
         with_bounds(features)
         .select(key, rank, "minx", "miny", "maxx", "maxy", F.explode(F.sequence(F.lit(0), F.lit(zmax))).alias("z"))
