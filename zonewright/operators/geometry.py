@@ -189,9 +189,15 @@ def zone_pieces(
     max_km2: float = MAX_PIECE_KM2,
     side_m: float = TILE_SIDE_M,
 ) -> DataFrame:
-    """The pieces that indicators are summed over: parts, the large ones tiled."""
-    shaped = zones.filter(F.col(geometry).isNotNull())
-    return tile_zones(explode_parts(shaped, geometry), geometry, max_km2, side_m)
+    """The pieces that indicators are summed over: parts, the large ones tiled.
+
+    Parts are spread over the cluster before the clip: zone files are few and
+    their outlines of very unlike length.
+    """
+    parts = explode_parts(zones.filter(F.col(geometry).isNotNull()), geometry)
+    keys = [F.col(c) for c in parts.columns if c != geometry]
+    spread = parts.repartition(zones.sparkSession.sparkContext.defaultParallelism, *keys)
+    return tile_zones(spread, geometry, max_km2, side_m)
 
 
 def split_antimeridian(df: DataFrame, geometry: str = "geometry") -> DataFrame:

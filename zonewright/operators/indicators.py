@@ -10,20 +10,20 @@ from zonewright.operators.filters import parse_value_lists
 from zonewright.operators.geometry import (
     BOUNDS,
     project_zones,
-    projected,
     with_area_m2,
     zone_pieces,
 )
+from zonewright.session import stored
 from zonewright.operators.joins import (
     BROADCAST_BYTES,
     candidate_pairs,
     cell_of,
-    cover_bytes,
     cover_cells,
     join_on_cells,
     prune_partitions,
     spatial_join_points,
     spatial_join_polygons,
+    stored_bytes,
     work_list,
 )
 
@@ -88,8 +88,8 @@ def zonal_aggregate(
     cell and ``by``; only pixels of cells crossed by an outline are tested one by
     one. So most pixels are summed map-side and never meet a polygon.
     """
-    small = cover_bytes(pieces_m, cell) <= broadcast_bytes
-    cells = cover_cells(pieces_m, keys, cell)
+    cells = stored(cover_cells(pieces_m, keys, cell))
+    small = stored_bytes(cells, "edges") <= broadcast_bytes
     placed = pixels.withColumns(
         {"cx": cell_of(F.col("x"), cell), "cy": cell_of(F.col("y"), cell)}
     )
@@ -214,7 +214,7 @@ def count_in_zones(
     The index join keeps the partitions whose box meets some zone; on a
     partitioned table the semi join prunes directories.
     """
-    pieces = zone_pieces(zones.select("zone_id", "geometry"))
+    pieces = stored(zone_pieces(zones.select("zone_id", "geometry")))
     wanted = prune_partitions(index, pieces, partition_keys, PIECE).select(*partition_keys)
     read = points.join(wanted.distinct(), partition_keys, "left_semi")
     hits = spatial_join_points(
@@ -287,7 +287,7 @@ def compute_indicators(
     """
     checked, _ = validate_indicators(spec.dropDuplicates(["key"]), datetime_match=str(years[0]))
     kinds = F.broadcast(parse_value_lists(classify_indicators(checked)).drop("value"))
-    pieces = zone_pieces(zones.select("zone_id", "geometry"))
+    pieces = stored(zone_pieces(zones.select("zone_id", "geometry")))
     pieces_m = project_zones(pieces)
     asked = kinds.agg(F.collect_list(F.struct("key", "kind")).alias("s")).scalar()
     base = work_list(zones, years).withColumn("_s", F.explode(asked)).select(

@@ -13,28 +13,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from zonewright.functions import geometry as g
 from zonewright.functions.rows import unnest
 from zonewright.operators.geometry import BOUNDS
+from zonewright.session import stored
 
 # The polygon side is broadcast only up to this many bytes, measured beforehand.
 BROADCAST_BYTES = 64 << 20
 # A cell holding more than 1/HOT_SHARE of the rows is split; so at most HOT_SHARE cells are.
 HOT_SHARE = 1000
-_EDGE_BYTES, _CELL_BYTES = 48, 96
+_EDGE_BYTES, _ROW_BYTES = 64, 128
 
 
 def cell_of(coordinate: Column, size: float) -> Column:
     return F.floor(coordinate / F.lit(float(size))).cast("int")
 
 
-def cover_bytes(pieces: DataFrame, size: float, geometry: str = "geometry") -> int:
-    """Upper bound of the bytes ``cover_cells`` gives, from bounds and vertex counts."""
-    x, y = g.xs(F.col(geometry)), g.ys(F.col(geometry))
-    shape = pieces.select(
-        (F.floor(F.array_max(x) / size) - F.floor(F.array_min(x) / size) + 1).alias("nx"),
-        (F.floor(F.array_max(y) / size) - F.floor(F.array_min(y) / size) + 1).alias("ny"),
-        F.size(x).alias("n"),
-    )
-    bound = F.col("nx") * F.col("ny") * (F.col("n") * _EDGE_BYTES + _CELL_BYTES)
-    return int(shape.agg(F.sum(bound.cast("double")).alias("b")).first()["b"] or 0)
+def stored_bytes(rows: DataFrame, edges: str | None = None) -> int:
+    """Size of stored polygon rows, from their number and their edge lists."""
+    measures = [F.count("*").alias("n")]
+    if edges is not None:
+        measures.append(F.sum(F.coalesce(F.size(edges), F.lit(0))).alias("edges"))
+    found = rows.agg(*measures).first()
+    return found["n"] * _ROW_BYTES + (found["edges"] or 0 if edges is not None else 0) * _EDGE_BYTES
 
 
 def cover_cells(
@@ -140,9 +138,13 @@ def spatial_join_points(
     cell: float = 1.0,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """All (point, zone) pairs where the zone covers the point, boundary included."""
-    small = cover_bytes(zones, cell, geometry) <= broadcast_bytes
-    cells = cover_cells(zones, zone_keys, cell, geometry)
+    """All (point, zone) pairs where the zone covers the point, boundary included.
+
+    The cell rows of the zones are stored first; their measured size decides
+    between a broadcast and a salted shuffle.
+    """
+    cells = stored(cover_cells(zones, zone_keys, cell, geometry))
+    small = stored_bytes(cells, "edges") <= broadcast_bytes
     placed = points.withColumns(
         {"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)}
     ).filter(F.col("cx").isNotNull() & F.col("cy").isNotNull())
@@ -151,22 +153,20 @@ def spatial_join_points(
 
 
 def _bbox_cells(df: DataFrame, size: float, geometry: str, tag: str) -> DataFrame:
+    """One row per cell of each geometry's bounds, which go to a struct named ``tag``."""
     x, y = g.xs(F.col(geometry)), g.ys(F.col(geometry))
-    others = [c for c in df.columns if c != geometry]
-    boxed = df.select(
-        *others,
-        F.col(geometry).alias(f"_{tag}_geometry"),
-        g.edges(F.col(geometry)).alias(f"_{tag}_edges"),
+    boxed = df.withColumn(
+        tag,
         F.struct(
             F.array_min(x).alias("minx"),
             F.array_min(y).alias("miny"),
             F.array_max(x).alias("maxx"),
             F.array_max(y).alias("maxy"),
-        ).alias(f"_{tag}"),
+        ),
     )
 
     def span(low: str, high: str) -> Column:
-        return F.sequence(cell_of(F.col(f"_{tag}.{low}"), size), cell_of(F.col(f"_{tag}.{high}"), size))
+        return F.sequence(cell_of(F.col(f"{tag}.{low}"), size), cell_of(F.col(f"{tag}.{high}"), size))
 
     columns = unnest(boxed, span("minx", "maxx"), "cx", boxed.columns)
     return unnest(columns, span("miny", "maxy"), "cy", columns.columns)
@@ -182,13 +182,22 @@ def candidate_pairs(
 ) -> DataFrame:
     """Each (feature, zone) pair with meeting bounds, exactly once.
 
-    Both sides are exploded to the cells of their bounds. A pair is kept only in
-    the cell holding the lower left corner of the common box, so no distinct and
-    no second shuffle is needed. Keeps ``_f_*`` / ``_z_*`` geometry and edges.
+    Both sides are exploded to the cells of their bounds, the zones without
+    their geometry. A pair is kept only in the cell holding the lower left
+    corner of the common box, so no distinct is needed. The zone's geometry is
+    then attached by the zone's other columns, which must be its key; it is
+    never copied per cell. Keeps ``_f`` (bounds), ``_f_geometry``,
+    ``_z_geometry`` and ``_z_edges``.
     """
-    small = cover_bytes(zones, cell, geometry) * 2 <= broadcast_bytes
-    left = _bbox_cells(features, cell, geometry, "f")
-    right = _bbox_cells(zones, cell, geometry, "z")
+    keys = [c for c in zones.columns if c != geometry]
+    shapes = stored(
+        zones.select(*keys, F.col(geometry).alias("_z_geometry"), g.edges(F.col(geometry)).alias("_z_edges"))
+    )
+    shapes_small = 2 * stored_bytes(shapes, "_z_edges") <= broadcast_bytes
+    right = stored(
+        _bbox_cells(shapes.drop("_z_edges"), cell, "_z_geometry", "_z").drop("_z_geometry")
+    )
+    left = _bbox_cells(features.withColumnRenamed(geometry, "_f_geometry"), cell, "_f_geometry", "_f")
     meets = (
         (F.col("_f.minx") <= F.col("_z.maxx"))
         & (F.col("_z.minx") <= F.col("_f.maxx"))
@@ -198,7 +207,9 @@ def candidate_pairs(
     home = (cell_of(F.greatest(F.col("_f.minx"), F.col("_z.minx")), cell) == F.col("cx")) & (
         cell_of(F.greatest(F.col("_f.miny"), F.col("_z.miny")), cell) == F.col("cy")
     )
-    return join_on_cells(left, right, feature_key, small).filter(meets & home)
+    pairs = join_on_cells(left, right, feature_key, stored_bytes(right) <= broadcast_bytes)
+    found = pairs.filter(meets & home).drop("cx", "cy", "_z")
+    return join_on_cells(found, shapes, feature_key, shapes_small, tuple(keys))
 
 
 def spatial_join_polygons(
@@ -211,12 +222,11 @@ def spatial_join_polygons(
 ) -> DataFrame:
     """All (feature, zone) pairs that share a point, each once, without geometries."""
     pairs = candidate_pairs(features, zones, feature_key, geometry, cell, broadcast_bytes)
+    edged = pairs.withColumn("_f_edges", g.edges(F.col("_f_geometry")))
     hit = g.intersects(
         F.col("_f_geometry"), F.col("_f_edges"), F.col("_z_geometry"), F.col("_z_edges")
     )
-    return pairs.filter(hit).drop(
-        "cx", "cy", "_f", "_z", "_f_geometry", "_z_geometry", "_f_edges", "_z_edges"
-    )
+    return edged.filter(hit).drop("_f", "_f_geometry", "_z_geometry", "_f_edges", "_z_edges")
 
 
 def prune_partitions(
