@@ -1,363 +1,244 @@
-"""Polygon expressions over nested columns.
+"""Polygon expressions over nested columns, as SQL text.
 
 A geometry is array<polygon>, a polygon array<ring> (outer ring first, then
-holes), a ring a closed array<struct<x,y>>. Higher-order-function bodies are
-interpreted per element, so every helper binds a sub-expression to a lambda
-variable once instead of repeating it.
+holes), a ring a closed array<struct<x,y>>. Every helper takes SQL expressions
+and returns one, for ``F.expr`` or a SQL query alike: ``F.expr(area("geometry"))``.
+Lambda bodies are interpreted per element, so a sub-expression needed more than
+once is bound to a lambda variable (``bind``) instead of being repeated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, functions as F
-
 RING = "array<struct<x:double,y:double>>"
 GEOMETRY = f"array<array<{RING}>>"
 
 
-def record(**fields: Column) -> Column:
+def record(**fields: str) -> str:
     """A struct with the given field names."""
-    return F.named_struct(*(part for name, value in fields.items() for part in (F.lit(name), value)))
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 
 
-def vertex(x: Column, y: Column) -> Column:
-    return record(x=x.cast("double"), y=y.cast("double"))
+def vertex(x: str, y: str) -> str:
+    return record(x=f"double({x})", y=f"double({y})")
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once per row."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def bind(value: str, name: str, body: str) -> str:
+    """``body`` with ``value`` evaluated once and called ``name``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def total(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0.0), lambda acc, v: acc + v)
+def segments(ring: str) -> str:
+    n = f"greatest(size({ring}) - 1, 0)"
+    pair = record(x1="a.x", y1="a.y", x2="b.x", y2="b.y")
+    return f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), (a, b) -> {pair})"
 
 
-def segments(ring: Column) -> Column:
-    n = F.greatest(F.size(ring) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(ring, F.lit(1), n),
-        F.slice(ring, F.lit(2), n),
-        lambda a, b: record(x1=a["x"], y1=a["y"], x2=b["x"], y2=b["y"]),
+def map_vertices(geometry: str, x: str, y: str) -> str:
+    """New coordinates for every vertex; ``x`` and ``y`` are written over ``v``."""
+    return (
+        f"transform({geometry}, poly -> transform(poly, ring -> "
+        f"transform(ring, v -> {vertex(x, y)})))"
     )
 
 
-def map_rings(geometry: Column, use: Callable[[Column], Column]) -> Column:
-    return F.transform(geometry, lambda poly: F.transform(poly, use))
-
+def xs(geometry: str) -> str:
+    return f"flatten(flatten({geometry})).x"
 
-def map_vertices(geometry: Column, use: Callable[[Column], Column]) -> Column:
-    return map_rings(geometry, lambda ring: F.transform(ring, use))
 
+def ys(geometry: str) -> str:
+    return f"flatten(flatten({geometry})).y"
 
-def xs(geometry: Column) -> Column:
-    return F.flatten(F.flatten(geometry)).getField("x")
 
+def bounds(geometry: str) -> str:
+    """struct<minx,miny,maxx,maxy>"""
+    x, y = xs(geometry), ys(geometry)
+    return record(
+        minx=f"array_min({x})", miny=f"array_min({y})", maxx=f"array_max({x})", maxy=f"array_max({y})"
+    )
 
-def ys(geometry: Column) -> Column:
-    return F.flatten(F.flatten(geometry)).getField("y")
 
+def rectangle(minx: str, miny: str, maxx: str, maxy: str) -> str:
+    corners = [(minx, miny), (maxx, miny), (maxx, maxy), (minx, maxy), (minx, miny)]
+    return f"array(array(array({', '.join(vertex(x, y) for x, y in corners)})))"
 
-def _ring_moments(ring: Column) -> Column:
-    """Twice the signed area and its first moments, relative to the first vertex."""
-    ox, oy = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
 
-    def add(acc: Column, e: Column) -> Column:
-        cross = (e["x1"] - ox) * (e["y2"] - oy) - (e["x2"] - ox) * (e["y1"] - oy)
-        return record(
-            a=acc["a"] + cross,
-            mx=acc["mx"] + cross * (e["x1"] + e["x2"] - ox * 2),
-            my=acc["my"] + cross * (e["y1"] + e["y2"] - oy * 2),
-        )
+_CROSS = "((e.x1 - o.x) * (e.y2 - o.y) - (e.x2 - o.x) * (e.y1 - o.y))"
 
-    zero = record(a=F.lit(0.0), mx=F.lit(0.0), my=F.lit(0.0))
-    return F.aggregate(segments(ring), zero, add)
 
+def ring_area(ring: str) -> str:
+    """Shoelace sum relative to the first vertex, which keeps the digits of small rings."""
+    twice = f"aggregate({segments(ring)}, 0D, (t, e) -> t + {_CROSS})"
+    return bind(f"get({ring}, 0)", "o", f"abs({twice}) / 2")
 
-def ring_area(ring: Column) -> Column:
-    ox, oy = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
-    twice = F.aggregate(
-        segments(ring),
-        F.lit(0.0),
-        lambda acc, e: acc
-        + (e["x1"] - ox) * (e["y2"] - oy)
-        - (e["x2"] - ox) * (e["y1"] - oy),
-    )
-    return F.abs(twice) / 2
 
-
-def area(geometry: Column) -> Column:
+def area(geometry: str) -> str:
     """Outer rings less holes, in the units of the coordinates."""
-    per_ring = F.transform(
-        geometry,
-        lambda poly: F.transform(
-            poly, lambda ring, i: F.when(i == 0, ring_area(ring)).otherwise(-ring_area(ring))
-        ),
-    )
-    return total(F.flatten(per_ring))
+    signed = f"if(i = 0, 1D, -1D) * {ring_area('ring')}"
+    rings = f"flatten(transform({geometry}, poly -> transform(poly, (ring, i) -> {signed})))"
+    return f"aggregate({rings}, 0D, (t, r) -> t + r)"
 
 
-def centroid(geometry: Column) -> Column:
+def centroid(geometry: str) -> str:
     """Area-weighted centroid as struct<x,y>; null for an empty or flat geometry."""
-
-    def weigh(ring: Column, i: Column) -> Column:
-        def signed(m: Column) -> Column:
-            sign = F.signum(m["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)
-            return record(
-                a=m["a"] * sign,
-                mx=(m["mx"] + F.get(ring, F.lit(0))["x"] * m["a"] * 3) * sign,
-                my=(m["my"] + F.get(ring, F.lit(0))["y"] * m["a"] * 3) * sign,
-            )
-
-        return bind(_ring_moments(ring), signed)
-
-    rings = F.flatten(F.transform(geometry, lambda poly: F.transform(poly, weigh)))
-    zero = record(a=F.lit(0.0), mx=F.lit(0.0), my=F.lit(0.0))
-    summed = F.aggregate(
-        rings,
-        zero,
-        lambda acc, m: record(
-            a=acc["a"] + m["a"], mx=acc["mx"] + m["mx"], my=acc["my"] + m["my"]
-        ),
+    zero = record(a="0D", mx="0D", my="0D")
+    add = record(
+        a=f"t.a + {_CROSS}",
+        mx=f"t.mx + {_CROSS} * (e.x1 + e.x2 + o.x)",
+        my=f"t.my + {_CROSS} * (e.y1 + e.y2 + o.y)",
     )
+    # moments about the first vertex's triangles; the sign makes outer rings count up, holes down
+    moments = bind("get(ring, 0)", "o", f"aggregate({segments('ring')}, {zero}, (t, e) -> {add})")
+    sign = "signum(m.a) * if(i = 0, 1D, -1D)"
+    signed = bind(moments, "m", record(a=f"m.a * {sign}", mx=f"m.mx * {sign}", my=f"m.my * {sign}"))
+    rings = f"flatten(transform({geometry}, poly -> transform(poly, (ring, i) -> {signed})))"
+    plus = record(a="t.a + r.a", mx="t.mx + r.mx", my="t.my + r.my")
     return bind(
-        summed,
-        lambda m: F.when(
-            m["a"] != 0, vertex(m["mx"] / (m["a"] * 3), m["my"] / (m["a"] * 3))
-        ),
+        f"aggregate({rings}, {zero}, (t, r) -> {plus})",
+        "w",
+        f"if(w.a <> 0, {vertex('w.mx / (w.a * 3)', 'w.my / (w.a * 3)')}, null)",
     )
 
 
-def edges(geometry: Column) -> Column:
+def edges(geometry: str) -> str:
     """All segments of all rings, each turned upward (y1 <= y2)."""
+    upward = f"if(e.y1 <= e.y2, e, {record(x1='e.x2', y1='e.y2', x2='e.x1', y2='e.y1')})"
+    rings = f"transform(poly, ring -> transform({segments('ring')}, e -> {upward}))"
+    return f"flatten(flatten(transform({geometry}, poly -> {rings})))"
 
-    def upward(e: Column) -> Column:
-        return F.when(e["y1"] <= e["y2"], e).otherwise(
-            record(x1=e["x2"], y1=e["y2"], x2=e["x1"], y2=e["y1"])
-        )
-
-    per_ring = map_rings(geometry, lambda ring: F.transform(segments(ring), upward))
-    return F.flatten(F.flatten(per_ring))
 
+def _turn(e: str, x: str, y: str) -> str:
+    return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({x} - {e}.x1) * ({e}.y2 - {e}.y1))"
 
-def _turn(e: Column, x: Column, y: Column) -> Column:
-    return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
-
-def covers(edge_list: Column, x: Column, y: Column) -> Column:
+def covers(edge_list: str, x: str, y: str) -> str:
     """Point in polygon over upward edges; a point on the boundary is inside.
 
-    The fold keeps 0 (outside so far), 1 (inside so far) or 2 (on an edge).
+    ``x`` and ``y`` must not name ``hit`` or ``edge``. The fold keeps 0 (outside so
+    far), 1 (inside so far) or 2 (on an edge).
     """
-
-    def step(acc: Column, e: Column) -> Column:
-        turn = _turn(e, x, y)
-        on_edge = (
-            (turn == 0)
-            & (x >= F.least(e["x1"], e["x2"]))
-            & (x <= F.greatest(e["x1"], e["x2"]))
-        )
-        return (
-            F.when((acc == 2) | (y < e["y1"]) | (y > e["y2"]), acc)
-            .when(on_edge, 2)
-            .when((y < e["y2"]) & (turn > 0), 1 - acc)
-            .otherwise(acc)
-        )
-
-    return F.aggregate(edge_list, F.lit(0), step) > 0
-
-
-def _edges_meet(a: Column, b: Column) -> Column:
-    overlap = (
-        (a["y1"] <= b["y2"])
-        & (b["y1"] <= a["y2"])
-        & (F.least(a["x1"], a["x2"]) <= F.greatest(b["x1"], b["x2"]))
-        & (F.least(b["x1"], b["x2"]) <= F.greatest(a["x1"], a["x2"]))
+    step = (
+        f"CASE WHEN hit = 2 OR {y} < edge.y1 OR {y} > edge.y2 THEN hit"
+        f" WHEN {_turn('edge', x, y)} = 0 AND {x} >= least(edge.x1, edge.x2) AND {x} <= greatest(edge.x1, edge.x2) THEN 2"
+        f" WHEN {y} < edge.y2 AND {_turn('edge', x, y)} > 0 THEN 1 - hit ELSE hit END"
     )
-    straddle = (_turn(b, a["x1"], a["y1"]) * _turn(b, a["x2"], a["y2"]) <= 0) & (
-        _turn(a, b["x1"], b["y1"]) * _turn(a, b["x2"], b["y2"]) <= 0
-    )
-    return overlap & straddle
+    return f"(aggregate({edge_list}, 0, (hit, edge) -> {step}) > 0)"
 
 
-def intersects(
-    geometry_a: Column, edges_a: Column, geometry_b: Column, edges_b: Column
-) -> Column:
+def intersects(geometry_a: str, edges_a: str, geometry_b: str, edges_b: str) -> str:
     """True when the two geometries share at least one point.
 
     Either two edges meet, or one polygon of a side lies wholly in the other
     side, in which case its first vertex does.
     """
-    edge_hit = F.exists(edges_a, lambda a: F.exists(edges_b, lambda b: _edges_meet(a, b)))
-
-    def start_inside(geometry: Column, edge_list: Column) -> Column:
-        return F.exists(
-            geometry,
-            lambda poly: covers(
-                edge_list,
-                F.get(F.get(poly, F.lit(0)), F.lit(0))["x"],
-                F.get(F.get(poly, F.lit(0)), F.lit(0))["y"],
-            ),
-        )
-
-    return edge_hit | start_inside(geometry_a, edges_b) | start_inside(geometry_b, edges_a)
-
-
-def _cut_ring(ring: Column, plane: Column) -> Column:
-    """Part of a closed ring with nx*x + ny*y >= d (one Sutherland-Hodgman pass)."""
-
-    def side(v: Column) -> Column:
-        return plane["nx"] * v["x"] + plane["ny"] * v["y"] - plane["d"]
-
-    n = F.greatest(F.size(ring) - 1, F.lit(0))
-    signed = F.zip_with(
-        F.slice(ring, F.lit(1), n),
-        F.slice(ring, F.lit(2), n),
-        lambda a, b: record(a=a, b=b, da=side(a), db=side(b)),
+    meet = (
+        "p.y1 <= q.y2 AND q.y1 <= p.y2"
+        " AND least(p.x1, p.x2) <= greatest(q.x1, q.x2) AND least(q.x1, q.x2) <= greatest(p.x1, p.x2)"
+        f" AND {_turn('q', 'p.x1', 'p.y1')} * {_turn('q', 'p.x2', 'p.y2')} <= 0"
+        f" AND {_turn('p', 'q.x1', 'q.y1')} * {_turn('p', 'q.x2', 'q.y2')} <= 0"
     )
 
-    def cut(s: Column) -> Column:
-        share = s["da"] / (s["da"] - s["db"])
-        return vertex(
-            F.when(plane["nx"] != 0, plane["d"] * plane["nx"]).otherwise(
-                s["a"]["x"] + share * (s["b"]["x"] - s["a"]["x"])
-            ),
-            F.when(plane["ny"] != 0, plane["d"] * plane["ny"]).otherwise(
-                s["a"]["y"] + share * (s["b"]["y"] - s["a"]["y"])
-            ),
-        )
+    def start_inside(geometry: str, edge_list: str) -> str:
+        first = "get(get(poly, 0), 0)"
+        return f"exists({geometry}, poly -> {covers(edge_list, f'{first}.x', f'{first}.y')})"
 
-    kept = F.flatten(
-        F.transform(
-            signed,
-            lambda s: F.when((s["da"] >= 0) & (s["db"] >= 0), F.array(s["a"]))
-            .when(s["da"] >= 0, F.array(s["a"], cut(s)))
-            .when(s["db"] >= 0, F.array(cut(s)))
-            .otherwise(F.array().cast(RING)),
-        )
+    return (
+        f"(exists({edges_a}, p -> exists({edges_b}, q -> {meet}))"
+        f" OR {start_inside(geometry_a, edges_b)} OR {start_inside(geometry_b, edges_a)})"
     )
-    return bind(kept, lambda r: F.concat(r, F.slice(r, F.lit(1), F.lit(1))))
 
 
-def clip(geometry: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
-    """Intersection with an axis-parallel box; polygons without a rest are dropped."""
+def clip(geometry: str, minx: str, miny: str, maxx: str, maxy: str) -> str:
+    """Intersection with an axis-parallel box; polygons without a rest are dropped.
+
+    A ring is folded over the four half-planes nx*x + ny*y >= d; each step keeps
+    the inner vertices and cuts the edges that cross (Sutherland-Hodgman).
+    """
 
-    def plane(nx: float, ny: float, d: Column) -> Column:
-        return record(nx=F.lit(nx), ny=F.lit(ny), d=d)
+    def plane(nx: int, ny: int, d: str) -> str:
+        return record(nx=f"{nx}D", ny=f"{ny}D", d=f"double({d})")
 
-    planes = F.array(
-        plane(1.0, 0.0, minx), plane(-1.0, 0.0, -maxx), plane(0.0, 1.0, miny), plane(0.0, -1.0, -maxy)
+    planes = (
+        f"array({plane(1, 0, minx)}, {plane(-1, 0, f'-({maxx})')}, "
+        f"{plane(0, 1, miny)}, {plane(0, -1, f'-({maxy})')})"
+    )
+    n = "greatest(size(r) - 1, 0)"
+    sides = record(
+        a="a", b="b", da="h.nx * a.x + h.ny * a.y - h.d", db="h.nx * b.x + h.ny * b.y - h.d"
+    )
+    signed = f"zip_with(slice(r, 1, {n}), slice(r, 2, {n}), (a, b) -> {sides})"
+    cut = vertex(
+        "if(h.nx <> 0, h.d * h.nx, s.a.x + s.da / (s.da - s.db) * (s.b.x - s.a.x))",
+        "if(h.ny <> 0, h.d * h.ny, s.a.y + s.da / (s.da - s.db) * (s.b.y - s.a.y))",
     )
-    cut = map_rings(geometry, lambda ring: F.aggregate(planes, ring, _cut_ring))
-    whole = F.filter(cut, lambda poly: F.size(F.get(poly, F.lit(0))) > 0)
-    return F.transform(whole, lambda poly: F.filter(poly, lambda ring: F.size(ring) > 0))
+    kept = (
+        f"flatten(transform({signed}, s -> CASE WHEN s.da >= 0 AND s.db >= 0 THEN array(s.a)"
+        f" WHEN s.da >= 0 THEN array(s.a, {cut}) WHEN s.db >= 0 THEN array({cut})"
+        f" ELSE cast(array() AS {RING}) END))"
+    )
+    closed = bind(kept, "k", "concat(k, slice(k, 1, 1))")
+    ring = f"aggregate(planes, ring, (r, h) -> {closed})"
+    cut_all = f"transform({geometry}, poly -> transform(poly, ring -> {ring}))"
+    whole = f"filter({bind(planes, 'planes', cut_all)}, poly -> size(get(poly, 0)) > 0)"
+    return f"transform({whole}, poly -> filter(poly, ring -> size(ring) > 0))"
 
 
-def box_overlap_area(
-    geometry: Column, minx: Column, miny: Column, maxx: Column, maxy: Column
-) -> Column:
+def box_overlap_area(geometry: str, minx: str, miny: str, maxx: str, maxy: str) -> str:
     """Area of geometry and box without building the intersection.
 
     The area left of an edge, cut to the box, is an integral over y of the edge's
     x clamped to the box; the clamped mean has a closed form. One pass, no new
     vertices.
     """
-    width = maxx - minx
 
-    def primitive(x: Column) -> Column:
+    def primitive(x: str) -> str:
+        width = "(w.maxx - w.minx)"
         return (
-            F.when(x <= minx, 0.0)
-            .when(x >= maxx, width * (x - minx) - width * width / 2)
-            .otherwise((x - minx) * (x - minx) / 2)
+            f"CASE WHEN {x} <= w.minx THEN 0D"
+            f" WHEN {x} >= w.maxx THEN {width} * ({x} - w.minx) - {width} * {width} / 2"
+            f" ELSE ({x} - w.minx) * ({x} - w.minx) / 2 END"
         )
 
-    def left_area(e: Column) -> Column:
-        def x_at(y: Column) -> Column:
-            return e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-
-        low = F.greatest(F.least(e["y1"], e["y2"]), miny)
-        high = F.least(F.greatest(e["y1"], e["y2"]), maxy)
-        mean = bind(
-            record(p=x_at(low), q=x_at(high)),
-            lambda s: F.when(
-                F.abs(s["p"] - s["q"]) < F.lit(1e-9) * F.greatest(F.abs(s["p"]), F.lit(1.0)),
-                F.greatest(F.least(s["p"], maxx), minx) - minx,
-            ).otherwise((primitive(s["q"]) - primitive(s["p"])) / (s["q"] - s["p"])),
-        )
-        return F.when(
-            (e["y1"] != e["y2"]) & (high > low), F.signum(e["y2"] - e["y1"]) * (high - low) * mean
-        ).otherwise(0.0)
-
-    per_ring = F.transform(
-        geometry,
-        lambda poly: F.transform(
-            poly,
-            lambda ring, i: F.abs(total(F.transform(segments(ring), left_area)))
-            * F.when(i == 0, 1.0).otherwise(-1.0),
-        ),
+    low, high = "greatest(least(e.y1, e.y2), w.miny)", "least(greatest(e.y1, e.y2), w.maxy)"
+    slope = "(e.x2 - e.x1) / (e.y2 - e.y1)"
+    mean = bind(
+        record(p=f"e.x1 + ({low} - e.y1) * {slope}", q=f"e.x1 + ({high} - e.y1) * {slope}"),
+        "s",
+        "if(abs(s.p - s.q) < 1e-9D * greatest(abs(s.p), 1D), greatest(least(s.p, w.maxx), w.minx) - w.minx,"
+        f" ({primitive('s.q')} - {primitive('s.p')}) / (s.q - s.p))",
     )
-    return total(F.flatten(per_ring))
-
-
-def rectangle(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
-    ring = F.array(
-        vertex(minx, miny), vertex(maxx, miny), vertex(maxx, maxy), vertex(minx, maxy), vertex(minx, miny)
+    left = (
+        f"if(e.y1 <> e.y2 AND {high} > {low},"
+        f" signum(e.y2 - e.y1) * ({high} - {low}) * {mean}, 0D)"
+    )
+    ring = f"abs(aggregate(transform({segments('ring')}, e -> {left}), 0D, (t, v) -> t + v))"
+    rings = (
+        f"flatten(transform({geometry}, poly -> "
+        f"transform(poly, (ring, i) -> if(i = 0, 1D, -1D) * {ring})))"
     )
-    return F.array(F.array(ring))
+    total = f"aggregate({rings}, 0D, (t, v) -> t + v)"
+    return bind(record(minx=minx, miny=miny, maxx=maxx, maxy=maxy), "w", total)
 
 
-def to_wkt(geometry: Column) -> Column:
+def to_wkt(geometry: str) -> str:
     """POLYGON text for one polygon, MULTIPOLYGON otherwise."""
-    polygons = F.transform(
-        geometry,
-        lambda poly: F.concat(
-            F.lit("("),
-            F.array_join(
-                F.transform(
-                    poly,
-                    lambda ring: F.concat(
-                        F.lit("("),
-                        F.array_join(
-                            F.transform(
-                                ring,
-                                lambda v: F.concat_ws(
-                                    " ", v["x"].cast("string"), v["y"].cast("string")
-                                ),
-                            ),
-                            ", ",
-                        ),
-                        F.lit(")"),
-                    ),
-                ),
-                ", ",
-            ),
-            F.lit(")"),
-        ),
+    position = "concat(string(v.x), ' ', string(v.y))"
+    ring = f"concat('(', array_join(transform(ring, v -> {position}), ', '), ')')"
+    polygon = f"concat('(', array_join(transform(poly, ring -> {ring}), ', '), ')')"
+    return bind(
+        f"transform({geometry}, poly -> {polygon})",
+        "texts",
+        "if(size(texts) = 1, concat('POLYGON ', get(texts, 0)),"
+        " concat('MULTIPOLYGON (', array_join(texts, ', '), ')'))",
     )
-    return F.when(
-        F.size(geometry) == 1, F.concat(F.lit("POLYGON "), F.get(polygons, F.lit(0)))
-    ).otherwise(F.concat(F.lit("MULTIPOLYGON ("), F.array_join(polygons, ", "), F.lit(")")))
 
 
-def from_wkt(text: Column) -> Column:
+def from_wkt(text: str) -> str:
     """Parse POLYGON / MULTIPOLYGON text; other kinds give null."""
-    body = F.regexp_replace(F.upper(text), r"\s+", " ")
-    is_multi = body.like("MULTIPOLYGON%")
-
-    def ring_of(ring_text: Column) -> Column:
-        def point(pair: Column) -> Column:
-            parts = F.split(F.trim(pair), " ")
-            return vertex(parts[0].cast("double"), parts[1].cast("double"))
-
-        return F.transform(F.split(ring_text, ","), point)
-
-    def rings_of(poly_text: Column) -> Column:
-        return F.transform(F.regexp_extract_all(poly_text, F.lit(r"\(([^()]+)\)"), 1), ring_of)
-
-    polygons = F.when(
-        is_multi, F.regexp_extract_all(body, F.lit(r"\((?: ?\([^()]+\) ?,?)+ ?\)"), 0)
-    ).otherwise(F.array(body))
-    return F.when(
-        is_multi | body.like("POLYGON%"), F.transform(polygons, rings_of)
+    point = bind("split(trim(pair), ' ')", "c", vertex("c[0]", "c[1]"))
+    ring = f"transform(split(one, ','), pair -> {point})"
+    rings = f"transform(regexp_extract_all(poly, r'\\(([^()]+)\\)', 1), one -> {ring})"
+    polygons = (
+        r"if(body LIKE 'MULTIPOLYGON%', regexp_extract_all(body, r'\((?: ?\([^()]+\) ?,?)+ ?\)', 0), array(body))"
     )
+    parsed = f"if(body LIKE '%POLYGON%', transform({polygons}, poly -> {rings}), null)"
+    return bind(f"regexp_replace(upper({text}), r'\\s+', ' ')", "body", parsed)

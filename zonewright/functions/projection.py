@@ -1,4 +1,4 @@
-"""EPSG:6933 (cylindrical equal area, WGS 84) as closed-form column expressions.
+"""EPSG:6933 (cylindrical equal area, WGS 84) as SQL expressions over SQL text.
 
 Forward and inverse follow Snyder, "Map Projections: A Working Manual" (1987),
 ellipsoidal Lambert cylindrical equal-area, standard parallel 30 degrees.
@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
-
 # Fixed values of the WGS 84 ellipsoid and of the projection.
 SEMI_MAJOR = 6378137.0
 ECC = 0.08181919084262149
@@ -30,25 +28,26 @@ _SIN4 = 23 * _E4 / 360 + 251 * _E6 / 3780
 _SIN6 = 761 * _E6 / 45360
 
 
-def forward_x(lon: Column) -> Column:
-    return F.radians(lon) * (SEMI_MAJOR * SCALE)
+def forward_x(lon: str) -> str:
+    return f"(radians({lon}) * {SEMI_MAJOR * SCALE!r}D)"
 
 
-def forward_y(lat: Column) -> Column:
-    s = F.sin(F.radians(lat))
-    q = (1 - ECC2) * (
-        s / (1 - s * s * ECC2) - F.log((1 - s * ECC) / (1 + s * ECC)) / (2 * ECC)
+def forward_y(lat: str) -> str:
+    s = f"sin(radians({lat}))"
+    q = (
+        f"({s} / (1D - {s} * {s} * {ECC2!r}D)"
+        f" - ln((1D - {s} * {ECC!r}D) / (1D + {s} * {ECC!r}D)) / {2 * ECC!r}D)"
     )
-    return q * (SEMI_MAJOR / (2 * SCALE))
+    return f"({q} * {(1 - ECC2) * SEMI_MAJOR / (2 * SCALE)!r}D)"
 
 
-def inverse_x(x: Column) -> Column:
-    return F.degrees(x / (SEMI_MAJOR * SCALE))
+def inverse_x(x: str) -> str:
+    return f"degrees({x} / {SEMI_MAJOR * SCALE!r}D)"
 
 
-def inverse_y(y: Column) -> Column:
-    ratio = y * (2 * SCALE / (SEMI_MAJOR * _Q_POLE))
-    beta = F.asin(F.greatest(F.least(ratio, F.lit(1.0)), F.lit(-1.0)))
-    return F.degrees(
-        beta + F.sin(beta * 2) * _SIN2 + F.sin(beta * 4) * _SIN4 + F.sin(beta * 6) * _SIN6
+def inverse_y(y: str) -> str:
+    beta = f"asin(greatest(least({y} * {2 * SCALE / (SEMI_MAJOR * _Q_POLE)!r}D, 1D), -1D))"
+    return (
+        f"degrees({beta} + sin({beta} * 2) * {_SIN2!r}D"
+        f" + sin({beta} * 4) * {_SIN4!r}D + sin({beta} * 6) * {_SIN6!r}D)"
     )

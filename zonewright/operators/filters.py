@@ -101,7 +101,7 @@ def mask_pixels(
         half = touch_res / 2
         boxes = pixels.withColumn(
             "geometry",
-            g.rectangle(F.col("x") - half, F.col("y") - half, F.col("x") + half, F.col("y") + half),
+            F.expr(g.rectangle(f"x - {half}D", f"y - {half}D", f"x + {half}D", f"y + {half}D")),
         )
         hits = spatial_join_polygons(boxes, pieces, pixel_key, cell=cell)
     return hits.dropDuplicates([*pixel_key, *zone_keys])

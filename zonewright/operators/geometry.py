@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from zonewright.functions import geometry as g
 from zonewright.functions import projection as proj
@@ -15,9 +15,12 @@ BOUNDS = ("minx", "miny", "maxx", "maxy")
 MAX_PIECE_KM2 = 500_000
 TILE_SIDE_M = 500_000
 
+# A clipped piece of less area (square degrees) is a bridge left by the clip, not a piece.
+_SLIVER_DEG2 = 1e-12
+
 
-def _replace(df: DataFrame, column: str, value: Column) -> DataFrame:
-    return df.withColumn(column, value)
+def projected(geometry: str) -> str:
+    return g.map_vertices(geometry, proj.forward_x("v.x"), proj.forward_y("v.y"))
 
 
 def explode_parts(df: DataFrame, geometry: str = "geometry", part: str = "part") -> DataFrame:
@@ -33,57 +36,45 @@ def explode_parts(df: DataFrame, geometry: str = "geometry", part: str = "part")
 
 def with_bounds(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Plain min/max columns, so that Parquet statistics and bbox predicates apply."""
-    x, y = g.xs(F.col(geometry)), g.ys(F.col(geometry))
-    return df.withColumns(
-        dict(zip(BOUNDS, (F.array_min(x), F.array_min(y), F.array_max(x), F.array_max(y))))
-    )
+    x, y = g.xs(f"`{geometry}`"), g.ys(f"`{geometry}`")
+    values = (f"array_min({x})", f"array_min({y})", f"array_max({x})", f"array_max({y})")
+    return df.withColumns({name: F.expr(v) for name, v in zip(BOUNDS, values)})
 
 
 def project_zones(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Lon/lat degrees -> EPSG:6933 metres, vertex by vertex."""
-    return _replace(
-        df,
-        geometry,
-        g.map_vertices(
-            F.col(geometry), lambda v: g.vertex(proj.forward_x(v["x"]), proj.forward_y(v["y"]))
-        ),
-    )
+    return df.withColumn(geometry, F.expr(projected(f"`{geometry}`")))
 
 
 def unproject_zones(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """EPSG:6933 metres -> lon/lat degrees."""
-    return _replace(
-        df,
-        geometry,
-        g.map_vertices(
-            F.col(geometry), lambda v: g.vertex(proj.inverse_x(v["x"]), proj.inverse_y(v["y"]))
-        ),
-    )
-
-
-def projected(geometry: Column) -> Column:
-    return g.map_vertices(
-        geometry, lambda v: g.vertex(proj.forward_x(v["x"]), proj.forward_y(v["y"]))
-    )
+    degrees = g.map_vertices(f"`{geometry}`", proj.inverse_x("v.x"), proj.inverse_y("v.y"))
+    return df.withColumn(geometry, F.expr(degrees))
 
 
 def with_area_m2(df: DataFrame, geometry: str = "geometry", name: str = "area_m2") -> DataFrame:
     """Equal-area square metres of a lon/lat geometry, holes subtracted."""
-    return df.withColumn(name, g.area(projected(F.col(geometry))))
+    return df.withColumn(name, F.expr(g.area(projected(f"`{geometry}`"))))
 
 
 def with_centroid(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Centroid in the geometry's own units as ``cx``, ``cy``."""
-    centre = g.centroid(F.col(geometry))
     return (
-        df.withColumn("_centre", centre)
+        df.withColumn("_centre", F.expr(g.centroid(f"`{geometry}`")))
         .withColumns({"cx": F.col("_centre.x"), "cy": F.col("_centre.y")})
         .drop("_centre")
     )
 
 
 def bounds_to_polygons(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    return df.withColumn(geometry, g.rectangle(*(F.col(c) for c in BOUNDS)))
+    return df.withColumn(geometry, F.expr(g.rectangle(*BOUNDS)))
+
+
+def _keep_pieces(df: DataFrame, geometry: str, value: str, sliver: str) -> DataFrame:
+    """Set the geometry and drop empty results, building the value once."""
+    others = [c for c in df.columns if c != geometry]
+    large = f"if(size(piece) > 0, {g.area('piece')} > {sliver}, false)"
+    return unnest(df, F.expr(f"filter(array({value}), piece -> {large})"), geometry, others)
 
 
 def clip_to_boxes(
@@ -97,28 +88,13 @@ def clip_to_boxes(
     ``boxes`` has the key and minx..maxy. Rows left without area are dropped.
     """
     keys = [on] if isinstance(on, str) else on
-    box = [F.col(f"_b.{c}") for c in BOUNDS]
     extra = [c for c in boxes.columns if c not in (*keys, *BOUNDS)]
     packed = boxes.select(*keys, *extra, F.struct(*BOUNDS).alias("_b"))
     joined = df.drop(*BOUNDS, *extra).join(packed, keys)
-    width, height = F.col("_b.maxx") - F.col("_b.minx"), F.col("_b.maxy") - F.col("_b.miny")
-    cut = g.clip(F.col(geometry), *box)
-    return _keep_pieces(joined, geometry, cut, width * height * 1e-12).select(
-        "*", *(F.col(f"_b.{c}").alias(c) for c in BOUNDS)
-    ).drop("_b")
-
-
-# A clipped piece of less area (square degrees) is a bridge left by the clip, not a piece.
-_SLIVER_DEG2 = 1e-12
-
-
-def _keep_pieces(df: DataFrame, geometry: str, value: Column, sliver: Column) -> DataFrame:
-    """Set the geometry and drop empty results, building the value once."""
-    others = [c for c in df.columns if c != geometry]
-    kept = F.filter(
-        F.array(value), lambda v: F.when(F.size(v) > 0, g.area(v) > sliver).otherwise(False)
-    )
-    return unnest(df, kept, geometry, others)
+    cut = g.clip(f"`{geometry}`", *(f"_b.{c}" for c in BOUNDS))
+    sliver = f"(_b.maxx - _b.minx) * (_b.maxy - _b.miny) * {_SLIVER_DEG2}D"
+    kept = _keep_pieces(joined, geometry, cut, sliver)
+    return kept.select("*", *(F.col(f"_b.{c}").alias(c) for c in BOUNDS)).drop("_b")
 
 
 def tile_zones(
@@ -134,51 +110,48 @@ def tile_zones(
     projection is cylindrical, so a tile is a box in lon/lat too and the clip
     happens there. Adds ``tile``, numbered column by column.
     """
-    x, y = g.xs(F.col(geometry)), g.ys(F.col(geometry))
+    shape = f"`{geometry}`"
     others = [c for c in df.columns if c not in (geometry, "tile")]
+    large = f"{g.area(projected(shape))} / 1e6D > {float(max_km2)!r}D"
     measured = df.select(
-        *others,
-        geometry,
-        F.struct(
-            F.array_min(x).alias("minx"),
-            F.array_min(y).alias("miny"),
-            F.array_max(x).alias("maxx"),
-            F.array_max(y).alias("maxy"),
-            proj.forward_x(F.array_min(x)).alias("x0"),
-            proj.forward_y(F.array_min(y)).alias("y0"),
-            proj.forward_x(F.array_max(x)).alias("x1"),
-            proj.forward_y(F.array_max(y)).alias("y1"),
-            (g.area(projected(F.col(geometry))) / 1e6 > max_km2).alias("large"),
-        ).alias("_m"),
+        *others, geometry, F.expr(g.bounds(shape)).alias("_m"), F.expr(large).alias("_large")
     )
+    metres = g.record(
+        x0=proj.forward_x("_m.minx"),
+        y0=proj.forward_y("_m.miny"),
+        x1=proj.forward_x("_m.maxx"),
+        y1=proj.forward_y("_m.maxy"),
+    )
+    steps = g.bind(
+        metres,
+        "k",
+        g.record(
+            x0="k.x0",
+            y0="k.y0",
+            nx=f"if(_large, int(floor((k.x1 - k.x0) / {float(side_m)!r}D)), 0)",
+            ny=f"if(_large, int(floor((k.y1 - k.y0) / {float(side_m)!r}D)), 0)",
+        ),
+    )
+    planned = measured.withColumn("_t", F.expr(steps))
+    columns = unnest(planned, F.expr("sequence(0, _t.nx)"), "_i", planned.columns)
+    tiled = unnest(columns, F.expr("sequence(0, _t.ny)"), "_j", columns.columns)
 
-    def last(low: str, high: str) -> Column:
-        span = F.col(f"_m.{high}") - F.col(f"_m.{low}")
-        return F.when(F.col("_m.large"), F.floor(span / side_m).cast("int")).otherwise(0)
-
-    columns = unnest(measured, F.sequence(F.lit(0), last("x0", "x1")), "_i", measured.columns)
-    tiled = unnest(columns, F.sequence(F.lit(0), last("y0", "y1")), "_j", columns.columns)
-
-    def bound(index: Column, low: str, end: str, inverse, outer: str) -> Column:
-        # the outermost tiles keep the zone's own bounds, free of projection rounding
-        inner = inverse(F.col(f"_m.{low}") + index * side_m)
-        edge = F.lit(0) if end == "first" else last(low, low.replace("0", "1")) + 1
-        return F.when(index == edge, F.col(f"_m.{outer}")).otherwise(inner)
+    def line(index: str, origin: str, inverse) -> str:
+        return inverse(f"({origin} + ({index}) * {float(side_m)!r}D)")
 
+    # the outermost tiles keep the zone's own bounds, free of projection rounding
     cut = g.clip(
-        F.col(geometry),
-        bound(F.col("_i"), "x0", "first", proj.inverse_x, "minx"),
-        bound(F.col("_j"), "y0", "first", proj.inverse_y, "miny"),
-        bound(F.col("_i") + 1, "x0", "last", proj.inverse_x, "maxx"),
-        bound(F.col("_j") + 1, "y0", "last", proj.inverse_y, "maxy"),
+        shape,
+        f"if(_i = 0, _m.minx, {line('_i', '_t.x0', proj.inverse_x)})",
+        f"if(_j = 0, _m.miny, {line('_j', '_t.y0', proj.inverse_y)})",
+        f"if(_i = _t.nx, _m.maxx, {line('_i + 1', '_t.x0', proj.inverse_x)})",
+        f"if(_j = _t.ny, _m.maxy, {line('_j + 1', '_t.y0', proj.inverse_y)})",
     )
-    rows = F.floor((F.col("_m.y1") - F.col("_m.y0")) / side_m).cast("int") + 1
-    tile = F.when(F.col("_m.large"), F.col("_i") * rows + F.col("_j")).otherwise(0)
     kept = _keep_pieces(
-        tiled.withColumn("tile", tile),
+        tiled.withColumn("tile", F.expr("if(_large, _i * (_t.ny + 1) + _j, 0)")),
         geometry,
-        F.when(F.col("_m.large"), cut).otherwise(F.col(geometry)),
-        F.when(F.col("_m.large"), _SLIVER_DEG2).otherwise(-1.0),
+        f"if(_large, {cut}, {shape})",
+        f"if(_large, {_SLIVER_DEG2}D, -1D)",
     )
     return kept.select(*others, "tile", geometry)
 
@@ -207,34 +180,25 @@ def split_antimeridian(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     moved by 360 first. Coordinates beyond 180 are accepted too. Adds ``side``:
     0 for what lies up to 180, 1 for what was moved back by 360.
     """
-    x = g.xs(F.col(geometry))
-    unwrapped = F.when(
-        F.array_max(x) - F.array_min(x) > 180,
-        g.map_vertices(
-            F.col(geometry),
-            lambda v: g.vertex(F.when(v["x"] < 0, v["x"] + 360).otherwise(v["x"]), v["y"]),
-        ),
-    ).otherwise(F.col(geometry))
-
-    def halves(shape: Column) -> Column:
-        def half(side: int) -> Column:
-            low = -180.0 + 360.0 * side
-            cut = g.clip(shape, F.lit(low), F.lit(-90.0), F.lit(low + 360), F.lit(90.0))
-            back = g.map_vertices(cut, lambda v: g.vertex(v["x"] - 360.0 * side, v["y"]))
-            return g.record(side=F.lit(side), shape=back)
-
-        whole = g.record(side=F.lit(0), shape=shape)
-        return F.when(F.array_max(g.xs(shape)) > 180, F.array(half(0), half(1))).otherwise(
-            F.array(whole)
-        )
-
-    others = [c for c in df.columns if c not in (geometry, "side")]
-    kept = F.filter(
-        g.bind(unwrapped, halves),
-        lambda h: F.when(
-            F.size(h["shape"]) > 0, g.area(h["shape"]) > _SLIVER_DEG2
-        ).otherwise(False),
+    shape = f"`{geometry}`"
+    x = g.xs(shape)
+    moved = g.map_vertices(shape, "if(v.x < 0, v.x + 360, v.x)", "v.y")
+    unwrapped = f"if(array_max({x}) - array_min({x}) > 180, {moved}, {shape})"
+
+    def half(side: int) -> str:
+        low = -180 + 360 * side
+        cut = g.clip("whole", f"{low}D", "-90D", f"{low + 360}D", "90D")
+        return g.record(side=str(side), shape=g.map_vertices(cut, f"v.x - {360 * side}D", "v.y"))
+
+    halves = g.bind(
+        unwrapped,
+        "whole",
+        f"if(array_max({g.xs('whole')}) > 180, array({half(0)}, {half(1)}),"
+        f" array({g.record(side='0', shape='whole')}))",
     )
+    large = f"if(size(h.shape) > 0, {g.area('h.shape')} > {_SLIVER_DEG2}D, false)"
+    others = [c for c in df.columns if c not in (geometry, "side")]
+    kept = F.expr(f"filter({halves}, h -> {large})")
     return unnest(df, kept, "_h", others).select(
         *others, F.col("_h.side").alias("side"), F.col("_h.shape").alias(geometry)
     )

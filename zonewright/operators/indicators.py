@@ -104,7 +104,7 @@ def zonal_aggregate(
     )
     crossed = (
         join_on_cells(placed, cells.filter(F.col("edges").isNotNull()), pixel_key, small)
-        .filter(g.covers(F.col("edges"), F.col("x"), F.col("y")))
+        .filter(F.expr(g.covers("edges", "x", "y")))
         .groupBy(*keys, *by)
         .agg(*measures)
     )
@@ -191,7 +191,7 @@ def sum_area_vector_clipped(
         rectangles.drop(*BOUNDS), pieces_m.select(*PIECE, "geometry"), rectangle_key, cell=cell,
         broadcast_bytes=broadcast_bytes,
     )
-    inside = g.box_overlap_area(F.col("_z_geometry"), *(F.col(f"_f.{c}") for c in BOUNDS))
+    inside = F.expr(g.box_overlap_area("_z_geometry", *(f"_f.{c}" for c in BOUNDS)))
     return (
         pairs.select("zone_id", *(by or []), inside.alias("_a"))
         .groupBy("zone_id", *(by or []))
@@ -227,7 +227,7 @@ def count_in_zones(
 def zone_totals(pieces_m: DataFrame) -> DataFrame:
     """Total area per zone over its pieces, already in metres."""
     return (
-        pieces_m.withColumn("_a", g.area(F.col("geometry")))
+        pieces_m.withColumn("_a", F.expr(g.area("geometry")))
         .groupBy("zone_id")
         .agg(F.sum("_a").alias("zone_m2"))
     )

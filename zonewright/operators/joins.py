@@ -44,48 +44,35 @@ def cover_cells(
     whose y range meets the cell and that do not end left of it, enough to decide
     any point of the cell by a ray to the right.
     """
-    step, slack = F.lit(float(size)), F.lit(size * 1e-9)
-    x = g.xs(F.col(geometry))
+    shape, step, slack = f"`{geometry}`", f"{float(size)!r}D", f"{size * 1e-9!r}D"
+    x, y = g.xs(shape), g.ys(shape)
+
+    def index(value: str) -> str:
+        return f"int(floor({value} / {step}))"
+
     bounded = pieces.select(
         *keys,
-        g.edges(F.col(geometry)).alias("_edges"),
-        cell_of(F.array_min(x), size).alias("_cx0"),
-        cell_of(F.array_max(x), size).alias("_cx1"),
-        F.explode_outer(
-            F.sequence(
-                cell_of(F.array_min(g.ys(F.col(geometry))), size),
-                cell_of(F.array_max(g.ys(F.col(geometry))), size),
-            )
-        ).alias("cy"),
+        F.expr(g.edges(shape)).alias("_edges"),
+        F.expr(f"sequence({index(f'array_min({x})')}, {index(f'array_max({x})')})").alias("_columns"),
+        F.expr(f"explode_outer(sequence({index(f'array_min({y})')}, {index(f'array_max({y})')}))").alias("cy"),
     )
-    low, high = F.col("cy") * step - slack, (F.col("cy") + 1) * step + slack
-    bands = bounded.select(
-        *keys,
-        "cy",
-        F.filter("_edges", lambda e: (e["y2"] >= low) & (e["y1"] <= high)).alias("_band"),
-        F.sequence("_cx0", "_cx1").alias("_columns"),
+    in_band = f"e.y2 >= cy * {step} - {slack} AND e.y1 <= (cy + 1) * {step} + {slack}"
+    bands = bounded.select(*keys, "cy", "_columns", F.expr(f"filter(_edges, e -> {in_band})").alias("_band"))
+    ahead = g.record(
+        cx="cx", edges=f"filter(_band, e -> greatest(e.x1, e.x2) >= cx * {step} - {slack})"
     )
-
-    def near(cx: Column) -> Column:
-        left = cx * step - slack
-        ahead = F.filter("_band", lambda e: F.greatest(e["x1"], e["x2"]) >= left)
-        return g.record(cx=cx, edges=ahead)
-
-    def classify(s: Column) -> Column:
-        right = (s["cx"] + 1) * step + slack
-        crossed = F.exists(s["edges"], lambda e: F.least(e["x1"], e["x2"]) <= right)
-        centre_x, centre_y = (s["cx"] + 0.5) * step, (F.col("cy") + 0.5) * step
-        return g.record(
-            cx=s["cx"],
-            edges=F.when(crossed, s["edges"]),
-            hit=F.when(crossed, True).otherwise(g.covers(s["edges"], centre_x, centre_y)),
-        )
-
-    cells = F.filter(
-        F.transform(F.transform("_columns", near), classify), lambda s: s["hit"]
+    crossed = f"exists(c.edges, e -> least(e.x1, e.x2) <= (c.cx + 1) * {step} + {slack})"
+    marked = g.record(cx="c.cx", edges="c.edges", crossed=crossed)
+    centre = g.covers("c.edges", f"((c.cx + 0.5D) * {step})", f"((cy + 0.5D) * {step})")
+    touched = (
+        f"filter(transform(transform(_columns, cx -> {ahead}), c -> {marked}),"
+        f" c -> c.crossed OR {centre})"
     )
-    return unnest(bands, cells, "_c", [*keys, "cy"]).select(
-        *keys, F.col("_c.cx").alias("cx"), "cy", F.col("_c.edges").alias("edges")
+    return unnest(bands, F.expr(touched), "_c", [*keys, "cy"]).select(
+        *keys,
+        F.col("_c.cx").alias("cx"),
+        "cy",
+        F.when(F.col("_c.crossed"), F.col("_c.edges")).alias("edges"),
     )
 
 
@@ -148,22 +135,13 @@ def spatial_join_points(
     placed = points.withColumns(
         {"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)}
     ).filter(F.col("cx").isNotNull() & F.col("cy").isNotNull())
-    inside = F.col("edges").isNull() | g.covers(F.col("edges"), F.col(x), F.col(y))
+    inside = F.expr(f"edges IS NULL OR {g.covers('edges', f'`{x}`', f'`{y}`')}")
     return join_on_cells(placed, cells, point_key, small).filter(inside).drop("cx", "cy", "edges")
 
 
 def _bbox_cells(df: DataFrame, size: float, geometry: str, tag: str) -> DataFrame:
     """One row per cell of each geometry's bounds, which go to a struct named ``tag``."""
-    x, y = g.xs(F.col(geometry)), g.ys(F.col(geometry))
-    boxed = df.withColumn(
-        tag,
-        F.struct(
-            F.array_min(x).alias("minx"),
-            F.array_min(y).alias("miny"),
-            F.array_max(x).alias("maxx"),
-            F.array_max(y).alias("maxy"),
-        ),
-    )
+    boxed = df.withColumn(tag, F.expr(g.bounds(f"`{geometry}`")))
 
     def span(low: str, high: str) -> Column:
         return F.sequence(cell_of(F.col(f"{tag}.{low}"), size), cell_of(F.col(f"{tag}.{high}"), size))
@@ -191,7 +169,11 @@ def candidate_pairs(
     """
     keys = [c for c in zones.columns if c != geometry]
     shapes = stored(
-        zones.select(*keys, F.col(geometry).alias("_z_geometry"), g.edges(F.col(geometry)).alias("_z_edges"))
+        zones.select(
+            *keys,
+            F.col(geometry).alias("_z_geometry"),
+            F.expr(g.edges(f"`{geometry}`")).alias("_z_edges"),
+        )
     )
     shapes_small = 2 * stored_bytes(shapes, "_z_edges") <= broadcast_bytes
     right = stored(
@@ -222,11 +204,9 @@ def spatial_join_polygons(
 ) -> DataFrame:
     """All (feature, zone) pairs that share a point, each once, without geometries."""
     pairs = candidate_pairs(features, zones, feature_key, geometry, cell, broadcast_bytes)
-    edged = pairs.withColumn("_f_edges", g.edges(F.col("_f_geometry")))
-    hit = g.intersects(
-        F.col("_f_geometry"), F.col("_f_edges"), F.col("_z_geometry"), F.col("_z_edges")
-    )
-    return edged.filter(hit).drop("_f", "_f_geometry", "_z_geometry", "_f_edges", "_z_edges")
+    edged = pairs.withColumn("_f_edges", F.expr(g.edges("_f_geometry")))
+    hit = g.intersects("_f_geometry", "_f_edges", "_z_geometry", "_z_edges")
+    return edged.filter(F.expr(hit)).drop("_f", "_f_geometry", "_z_geometry", "_f_edges", "_z_edges")
 
 
 def prune_partitions(
@@ -237,7 +217,7 @@ def prune_partitions(
     cell: float = 10.0,
 ) -> DataFrame:
     """(zone, partition) pairs where the partition's box meets the zone's geometry."""
-    boxes = index.select(*index_keys, g.rectangle(*(F.col(c) for c in BOUNDS)).alias("geometry"))
+    boxes = index.select(*index_keys, F.expr(g.rectangle(*BOUNDS)).alias("geometry"))
     pairs = spatial_join_polygons(
         boxes, zones.select(*zone_keys, "geometry"), index_keys, cell=cell
     )

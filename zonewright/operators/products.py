@@ -246,7 +246,7 @@ def geometry_outputs(
     metadata = F.col("metadata") if "metadata" in df.columns else F.lit("{}")
     return df.filter(F.col(geometry).isNotNull()).select(
         F.col(id_column).cast("string").alias("id"),
-        g.to_wkt(F.col(geometry)).alias("geometry"),
+        F.expr(g.to_wkt(f"`{geometry}`")).alias("geometry"),
         F.col(name_column).alias("name"),
         description.alias("description"),
         metadata.alias("metadata"),

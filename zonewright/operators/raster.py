@@ -208,4 +208,4 @@ def polygonize_runs(
             "maxy": (F.col("iy") + 1) * float(res) + origin[1],
         }
     )
-    return bounds.withColumn("geometry", g.rectangle(*(F.col(c) for c in BOUNDS)))
+    return bounds.withColumn("geometry", F.expr(g.rectangle(*BOUNDS)))

@@ -54,7 +54,7 @@ def explode_parts(spark, sf_dir):
         "zone_id",
         "part",
         F.size(F.flatten("geometry")).alias("n_rings"),
-        F.size(g.xs(F.col("geometry"))).alias("n_vertices"),
+        F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
     )
 
 
@@ -134,9 +134,10 @@ def with_centroid(spark, sf_dir):
 )
 def bounds_to_polygons(spark, sf_dir):
     boxes = ops.bounds_to_polygons(ops.with_bounds(inputs.zones(spark, sf_dir)))
-    shape = F.col("geometry")
     return boxes.select(
-        "zone_id", F.round(g.area(shape), 6).alias("area_deg2"), F.size(g.xs(shape)).alias("n_vertices")
+        "zone_id",
+        F.round(F.expr(g.area("geometry")), 6).alias("area_deg2"),
+        F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
     )
 
 
@@ -176,7 +177,7 @@ def clip_to_boxes(spark, sf_dir):
     boxes = cut.select("zone_id", F.inline(quarters))
     clipped = ops.clip_to_boxes(zone_parts(spark, sf_dir), boxes, "zone_id")
     return clipped.select(
-        "zone_id", "part", "box", F.round(g.area(F.col("geometry")), 6).alias("area_deg2")
+        "zone_id", "part", "box", F.round(F.expr(g.area("geometry")), 6).alias("area_deg2")
     )
 
 
@@ -249,7 +250,7 @@ RUNS_SQL = """runs AS (SELECT yr, iy, MIN(ix) AS ix_first, MAX(ix) AS ix_last FR
 )
 def polygonize_runs_query(spark, sf_dir):
     return runs(spark, sf_dir).select(
-        "yr", "iy", "ix_first", "ix_last", g.area(F.col("geometry")).alias("area_m2")
+        "yr", "iy", "ix_first", "ix_last", F.expr(g.area("geometry")).alias("area_m2")
     )
 
 
@@ -278,14 +279,9 @@ def geometry_checks(spark, sf_dir):
     ROUND(SUM(CASE WHEN ring=0 THEN ar ELSE -ar END),6) AS area_deg2 FROM rings GROUP BY 1,2""",
 )
 def split_antimeridian(spark, sf_dir):
-    def wrap(v):
-        x = v["x"] + 150
-        return g.vertex(F.when(x > 180, x - 360).otherwise(x), v["y"])
-
-    moved = zone_parts(spark, sf_dir).withColumn(
-        "geometry", g.map_vertices(F.col("geometry"), wrap)
-    )
-    sides = ops.split_antimeridian(moved).withColumn("_a", g.area(F.col("geometry")))
+    wrapped = g.map_vertices("geometry", "v.x + 150 - if(v.x + 150 > 180, 360, 0)", "v.y")
+    moved = zone_parts(spark, sf_dir).withColumn("geometry", F.expr(wrapped))
+    sides = ops.split_antimeridian(moved).withColumn("_a", F.expr(g.area("geometry")))
     return sides.groupBy("zone_id", "part").agg(
         F.count("*").alias("n_sides"), F.round(F.sum("_a"), 6).alias("area_deg2")
     )

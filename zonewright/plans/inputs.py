@@ -31,16 +31,12 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     oy = F.lit(-50.0) + (key * 151 % 400) * 0.25
     step = F.when(key % 10 == 0, 1.0).otherwise((key % 5 + 1) * 0.05)
 
-    def ring(points: list[tuple[int, int]]) -> Column:
-        return F.array(
-            *(
-                g.vertex(F.col("ox") + F.col("step") * float(dx), F.col("oy") + F.col("step") * float(dy))
-                for dx, dy in points
-            )
-        )
+    def ring(points: list[tuple[int, int]]) -> str:
+        corners = (g.vertex(f"ox + step * {dx}D", f"oy + step * {dy}D") for dx, dy in points)
+        return f"array({', '.join(corners)})"
 
     rings = {(part, r): ring(points) for part, r, points in OUTLINE}
-    geometry = F.array(F.array(rings[0, 0], rings[0, 1]), F.array(rings[1, 0]))
+    geometry = F.expr(f"array(array({rings[0, 0]}, {rings[0, 1]}), array({rings[1, 0]}))")
     return (
         table(spark, sf_dir, "supplier")
         .select(
@@ -74,15 +70,14 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One diamond per part, 0.01 to 0.5 degrees half-width."""
     key = F.col("p_partkey")
-    lon, lat = F.col("lon"), F.col("lat")
-    half = F.col("half")
-    ring = F.array(
-        g.vertex(lon - half, lat),
-        g.vertex(lon, lat - half),
-        g.vertex(lon + half, lat),
-        g.vertex(lon, lat + half),
-        g.vertex(lon - half, lat),
-    )
+    tips = [
+        ("lon - half", "lat"),
+        ("lon", "lat - half"),
+        ("lon + half", "lat"),
+        ("lon", "lat + half"),
+        ("lon - half", "lat"),
+    ]
+    ring = f"array({', '.join(g.vertex(x, y) for x, y in tips)})"
     return (
         table(spark, sf_dir, "part")
         .select(
@@ -92,7 +87,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
             _spread(key, 104729).alias("lat"),
             (F.col("p_size") * 0.01 + 0.0001).alias("half"),
         )
-        .select("feature_id", "class", F.array(F.array(ring)).alias("geometry"))
+        .select("feature_id", "class", F.expr(f"array(array({ring}))").alias("geometry"))
     )
 
 

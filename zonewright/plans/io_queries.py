@@ -100,11 +100,11 @@ def read_scene_items(spark, sf_dir):
     documents.write.partitionBy("scene").text(root)
     items = scenes.index_scenes(scenes.read_scene_items(spark, root, "*.txt"))
     shape = tables.polygons_from_geojson(F.col("geometry.type"), F.col("geometry.coordinates"))
-    return items.select(
+    return items.withColumn("shape", shape).select(
         "id", "collection", "minx", "miny", "maxx", "maxy",
         F.col("properties.start_datetime").alias("start_datetime"),
         F.col("assets")["asset"]["href"].alias("href"),
-        g.area(shape).alias("area"),
+        F.expr(g.area("shape")).alias("area"),
     )
 
 
@@ -202,7 +202,7 @@ def _index_columns(index: DataFrame) -> DataFrame:
         "country_code",
         F.col("s2_code").cast("string").alias("s2_code"),
         *(F.round(c, 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")),
-        F.round(g.area(g.from_wkt(F.col("bbox_wkt"))), 6).alias("area_deg2"),
+        F.round(F.expr(g.area(g.from_wkt("bbox_wkt"))), 6).alias("area_deg2"),
     )
 
 
@@ -253,9 +253,11 @@ def read_geojson(spark, sf_dir):
     collection = F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
     inputs.features(spark, sf_dir).select(F.to_json(collection).alias("value")).write.text(root)
     read = tables.read_geojson(spark, root, "feature_id bigint, class string", lines=True)
-    shape = F.col("geometry")
     return read.select(
-        "feature_id", "class", F.size(g.xs(shape)).alias("n_vertices"), F.round(g.area(shape), 6).alias("area_deg2")
+        "feature_id",
+        "class",
+        F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
+        F.round(F.expr(g.area("geometry")), 6).alias("area_deg2"),
     )
 
 
@@ -267,9 +269,10 @@ def read_geojson(spark, sf_dir):
 )
 def zones_from_wkt(spark, sf_dir):
     text = tables.zones_to_wkt(inputs.zones(spark, sf_dir)).select("zone_id", "wkt")
-    shape = F.col("geometry")
     return tables.zones_from_wkt(text).select(
-        "zone_id", F.size(shape).alias("n_parts"), F.round(g.area(shape), 6).alias("area_deg2")
+        "zone_id",
+        F.size("geometry").alias("n_parts"),
+        F.round(F.expr(g.area("geometry")), 6).alias("area_deg2"),
     )
 
 

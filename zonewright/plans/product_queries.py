@@ -195,7 +195,7 @@ def geometry_outputs(spark, sf_dir):
     properties = F.from_json("properties", "nation int, balance double")
     return rows.select(
         "id", "name", "description", "metadata",
-        F.size(g.from_wkt(F.col("geometry"))).alias("n_parts"),
+        F.size(F.expr(g.from_wkt("geometry"))).alias("n_parts"),
         properties["nation"].alias("nation"), properties["balance"].alias("balance"),
     )
 

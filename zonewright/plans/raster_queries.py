@@ -76,10 +76,12 @@ def regrid(spark, sf_dir):
 )
 def pixels_to_chunks(spark, sf_dir):
     chunks = raster.pixels_to_chunks(cells(spark, sf_dir), 20, inputs.PIXEL_M, ["yr"])
-    filled = F.filter("values", lambda v: v.isNotNull())
+    filled = F.array_compact("values")
     return chunks.select(
         "yr", "chunk_x", "chunk_y", "x0", "y0",
-        F.size("values").alias("n_cells"), F.size(filled).alias("n_filled"), g.total(filled).alias("total"),
+        F.size("values").alias("n_cells"),
+        F.size(filled).alias("n_filled"),
+        F.aggregate(filled, F.lit(0.0), lambda t, v: t + v).alias("total"),
     )
 
 
@@ -172,7 +174,7 @@ def percent_of_extent(spark, sf_dir):
 
 def _box_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = inputs.scenes(spark, sf_dir)
-    return found.withColumn("geometry", g.rectangle(*(F.col(c) for c in ("minx", "miny", "maxx", "maxy"))))
+    return found.withColumn("geometry", F.expr(g.rectangle("minx", "miny", "maxx", "maxy")))
 
 
 @query(

@@ -67,7 +67,7 @@ def parse_partition_path(
 
 def _with_box(index: DataFrame) -> DataFrame:
     boxed = bounds_to_polygons(index)
-    return boxed.withColumn("bbox_wkt", g.to_wkt(F.col("geometry")))
+    return boxed.withColumn("bbox_wkt", F.expr(g.to_wkt("geometry")))
 
 
 def bbox_index(

@@ -21,7 +21,10 @@ def read_table(spark: SparkSession, url: str) -> DataFrame:
 
 
 def _ring(positions: Column) -> Column:
-    return F.transform(positions, lambda p: g.vertex(p[0], p[1]))
+    return F.transform(
+        positions,
+        lambda p: F.named_struct(F.lit("x"), p[0], F.lit("y"), p[1]),
+    )
 
 
 def polygons_from_geojson(kind: Column, coordinates: Column) -> Column:
@@ -58,11 +61,11 @@ def read_geojson(
 
 
 def zones_from_wkt(df: DataFrame, column: str = "wkt", geometry: str = "geometry") -> DataFrame:
-    return df.withColumn(geometry, g.from_wkt(F.col(column)))
+    return df.withColumn(geometry, F.expr(g.from_wkt(f"`{column}`")))
 
 
 def zones_to_wkt(df: DataFrame, column: str = "wkt", geometry: str = "geometry") -> DataFrame:
-    return df.withColumn(column, g.to_wkt(F.col(geometry)))
+    return df.withColumn(column, F.expr(g.to_wkt(f"`{geometry}`")))
 
 
 def merge_regions(tables: list[DataFrame]) -> DataFrame:
