@@ -30,18 +30,24 @@ def time_point(text: Column) -> Column:
     compact = F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
     zoned = compact.rlike(r"T.*(Z|[+-]\d{2}(:?\d{2})?)$")
     offset_fixed = F.regexp_replace(compact, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    instant = F.when(
-        zoned,
-        F.convert_timezone(
-            F.current_timezone(),
-            F.lit("UTC"),
-            F.when(zoned, offset_fixed).try_cast("timestamp").cast("timestamp_ntz"),
-        ),
-    ).otherwise(F.when(~zoned, compact).try_cast("timestamp_ntz"))
-    micros = F.date_format(instant, "SSSSSS")
+    # both branches avoid the session's wall clock, which skips and repeats hours
+    micros = F.unix_micros(F.when(zoned, offset_fixed).try_cast("timestamp"))
+    since_epoch = F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    )
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    instant = F.when(zoned, epoch + since_epoch).otherwise(
+        F.when(~zoned, compact).try_cast("timestamp_ntz")
+    )
+    written = F.split(instant.cast("string"), r"[ .]")
+    fraction = F.get(written, F.lit(2))
     return F.concat(
-        F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
+        F.get(written, F.lit(0)),
+        F.lit("T"),
+        F.get(written, F.lit(1)),
+        F.when(fraction.isNull(), "").otherwise(
+            F.concat(F.lit("."), F.rpad(fraction, 6, "0"))
+        ),
         F.lit("Z"),
     )
 
