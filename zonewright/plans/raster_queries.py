@@ -237,17 +237,18 @@ def select_zones(spark, sf_dir):
 
 @query(
     "filter_by_names",
-    f"""SELECT {uuid5_sql("'zones.parquet2024-01-01T00:00:00'||s_suppkey")} AS zone_id, s_name AS zone_name, n_name AS nation_name
-    FROM supplier JOIN nation ON n_nationkey=s_nationkey
-    WHERE n_name IN ('NATION_1','NATION_3') OR s_name='Supplier#000000004'""",
+    f"""SELECT {uuid5_sql("'zones.parquet2024-01-01T00:00:00'||s_suppkey")} AS zone_id, s_name AS zone_name,
+    CASE WHEN s_acctbal>=0 THEN 'credit' ELSE 'debit' END AS standing FROM supplier
+    WHERE s_acctbal>=0 OR s_name='Supplier#000000004'""",
 )
 def filter_by_names(spark, sf_dir):
-    nations = inputs.table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("nation"), F.concat(F.col("n_name"), F.lit(" ")).alias("nation_name")
+    named = inputs.zones(spark, sf_dir).select(
+        F.col("zone_id").alias("source_row"),
+        "zone_name",
+        F.when(F.col("balance") >= 0, " credit ").otherwise("debit").alias("standing"),
     )
-    named = inputs.zones(spark, sf_dir).join(nations, "nation").withColumn("source_row", F.col("zone_id"))
     kept = filters.filter_by_names(
-        named, ["zone_name", "nation_name"], ["NATION_1", " NATION_3", "Supplier#000000004"],
+        named, ["zone_name", "standing"], ["credit", " Supplier#000000004"],
         "zones.parquet", "2024-01-01T00:00:00", "source_row",
     )
-    return kept.select("zone_id", "zone_name", F.trim("nation_name").alias("nation_name"))
+    return kept.select("zone_id", "zone_name", F.trim("standing").alias("standing"))
