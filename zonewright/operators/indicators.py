@@ -84,27 +84,34 @@ def zonal_aggregate(
 ) -> DataFrame:
     """Pixel count (and value total) per piece and ``by``.
 
-    Grid cells lying wholly in a piece take part as one pre-aggregated row per
-    cell and ``by``; only pixels of cells crossed by an outline are tested one by
-    one. So most pixels are summed map-side and never meet a polygon.
+    With cell rows small enough to broadcast this is one pass: a pixel is looked
+    up by its cell, tested against the few edges kept there (or none, where the
+    cell lies wholly inside), and counted map-side. Beyond that size, cells
+    wholly inside take part as one pre-aggregated row per cell and ``by``, and
+    only the pixels of cells crossed by an outline are shuffled.
     """
     cells = stored(cover_cells(pieces_m, keys, cell))
-    small = stored_bytes(cells, "edges") <= broadcast_bytes
     placed = pixels.withColumns(
         {"cx": cell_of(F.col("x"), cell), "cy": cell_of(F.col("y"), cell)}
     )
     measures = [F.count("*").alias("n")]
     if value is not None:
         measures.append(F.sum(value).alias("total"))
+    inside = F.expr(f"edges IS NULL OR {g.covers('edges', 'x', 'y')}")
+    if stored_bytes(cells, "edges") <= broadcast_bytes:
+        hits = join_on_cells(placed, cells, pixel_key, True).filter(inside)
+        return hits.groupBy(*keys, *by).agg(*measures)
     whole = join_on_cells(
         placed.groupBy("cx", "cy", *by).agg(*measures),
         cells.filter(F.col("edges").isNull()).drop("edges"),
         ["cx", "cy", *by],
-        small,
+        False,
     )
+    outlines = cells.filter(F.col("edges").isNotNull())
+    near = placed.join(outlines.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi")
     crossed = (
-        join_on_cells(placed, cells.filter(F.col("edges").isNotNull()), pixel_key, small)
-        .filter(F.expr(g.covers("edges", "x", "y")))
+        join_on_cells(near, outlines, pixel_key, False)
+        .filter(inside)
         .groupBy(*keys, *by)
         .agg(*measures)
     )

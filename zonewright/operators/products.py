@@ -173,11 +173,14 @@ def outputs_by_indicator(outputs: DataFrame, max_outputs: int = 100_000) -> Data
     flat = outputs.select(
         "timePoint", "geometryOutputId", F.explode("indicators").alias("indicator", "value")
     )
-    sizes = flat.groupBy("indicator", "timePoint").agg(
-        F.ceil(F.count("*") / max_outputs).alias("_slices")
-    )
+    sizes = flat.groupBy(
+        F.col("indicator").alias("_indicator"), F.col("timePoint").alias("_time")
+    ).agg(F.ceil(F.count("*") / max_outputs).alias("_slices"))
+    # null-safe keys: a plain equality lets Catalyst push "timePoint is not null" and
+    # with it the parsing of the text below the aggregates the outputs come from
+    same = F.col("indicator").eqNullSafe(F.col("_indicator")) & F.col("timePoint").eqNullSafe(F.col("_time"))
     return (
-        flat.join(sizes, ["indicator", "timePoint"])
+        flat.join(sizes, same)
         .withColumn("slice", F.pmod(F.xxhash64("geometryOutputId"), F.col("_slices")))
         .groupBy("indicator", "timePoint", "slice")
         .agg(F.sort_array(F.collect_list(F.struct("geometryOutputId", "value"))).alias("outputs"))

@@ -49,9 +49,17 @@ def pixels_to_chunks(
             F.col(value).alias("_value"),
         )
         .groupBy(*keys, "chunk_x", "chunk_y")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_value"))).alias("_cells"))
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_value"))).alias("_cells"))
     )
-    every = F.sequence(F.lit(0), F.lit(size * size - 1))
+    # each cell is followed by as many nulls as are missing up to the next one
+    kind = pixels.schema[value].dataType.simpleString()
+    nulls = f"array_repeat(cast(null as {kind}), %s)"
+    following = f"concat(transform(slice(_cells, 2, size(_cells)), c -> c._pos), array({size * size}))"
+    filled = (
+        f"zip_with(_cells, {following}, (c, n) -> "
+        f"concat(array(c._value), {nulls % 'n - c._pos - 1'}))"
+    )
+    dense = f"concat({nulls % 'get(_cells, 0)._pos'}, flatten({filled}))"
     return grouped.select(
         *keys,
         "chunk_x",
@@ -61,7 +69,7 @@ def pixels_to_chunks(
         F.lit(float(res)).alias("res"),
         F.lit(size).alias("width"),
         F.lit(size).alias("height"),
-        F.transform(every, lambda p: F.try_element_at(F.col("_cells"), p)).alias("values"),
+        F.expr(dense).alias("values"),
     )
 
 
