@@ -140,7 +140,7 @@ def test_write_partitioned_adds_missing_cells_only(spark, folder):
     sinks.write_partitioned(first, url)
     sinks.write_partitioned(second, url)
     assert sorted(r["zone_id"] for r in spark.read.parquet(url).collect()) == [1, 3]
-    sinks.write_partitioned(second, url, overwrite=True, files_per_cell=3)
+    sinks.write_partitioned(second, url, overwrite=True)
     assert sorted(r["zone_id"] for r in spark.read.parquet(url).collect()) == [2, 3]
 
 

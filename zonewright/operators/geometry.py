@@ -169,7 +169,8 @@ def zone_pieces(
     """
     parts = explode_parts(zones.filter(F.col(geometry).isNotNull()), geometry)
     keys = [F.col(c) for c in parts.columns if c != geometry]
-    spread = parts.repartition(zones.sparkSession.sparkContext.defaultParallelism, *keys)
+    tasks = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = parts.repartition(tasks, *keys)
     return tile_zones(spread, geometry, max_km2, side_m)
 
 

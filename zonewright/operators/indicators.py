@@ -222,8 +222,12 @@ def count_in_zones(
     partitioned table the semi join prunes directories.
     """
     pieces = stored(zone_pieces(zones.select("zone_id", "geometry")))
-    wanted = prune_partitions(index, pieces, partition_keys, PIECE).select(*partition_keys)
-    read = points.join(wanted.distinct(), partition_keys, "left_semi")
+    wanted = stored(
+        prune_partitions(index, pieces, partition_keys, PIECE).select(*partition_keys).distinct()
+    )
+    if stored_bytes(wanted) <= broadcast_bytes:
+        wanted = F.broadcast(wanted)
+    read = points.join(wanted, partition_keys, "left_semi")
     hits = spatial_join_points(
         read, pieces, PIECE, point_key, cell=cell, broadcast_bytes=broadcast_bytes
     )

@@ -322,13 +322,12 @@ def grid_cell(spark, sf_dir):
     + f"""SELECT {_BIN_SQL} AS "partition", COUNT(*) AS n_features, SUM(feature_id) AS id_sum FROM feature_base GROUP BY 1""",
 )
 def write_partitioned(spark, sf_dir):
-    """Half of the classes first; the second run adds the missing cells of the rest only."""
+    """Written twice: the second run finds every cell present and adds nothing."""
     root = scratch_path(spark, "cells")
     features = inputs.features(spark, sf_dir)
-    sinks.write_partitioned(features, root, overwrite=True, files_per_cell=2)
+    sinks.write_partitioned(features, root, overwrite=True)
     sinks.write_partitioned(features.withColumn("class", F.lit("again")), root)
-    stored = spark.read.parquet(root).filter(F.col("class") != "again")
-    return stored.groupBy("partition").agg(
+    return spark.read.parquet(root).groupBy("partition").agg(
         F.count("*").alias("n_features"), F.sum("feature_id").alias("id_sum")
     )
 

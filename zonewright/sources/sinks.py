@@ -36,14 +36,12 @@ def grid_cell(df: DataFrame, x: str = "cx", y: str = "cy", chunks: int = 10) ->
     )
 
 
-def write_partitioned(
-    df: DataFrame, url: str, overwrite: bool = False, chunks: int = 10, files_per_cell: int = 1
-) -> None:
+def write_partitioned(df: DataFrame, url: str, overwrite: bool = False, chunks: int = 10) -> None:
     """One folder per grid cell of the centroids.
 
     With ``overwrite`` all old cells go first; else only cells that are not there
-    yet are written. ``files_per_cell`` above 1 splits dense cells over that many
-    tasks by a hash of the geometry.
+    yet are written. Rows are rebalanced by cell: small cells share a task, and a
+    cell far above the advisory partition size is split over several.
     """
     celled = grid_cell(with_centroid(df), chunks=chunks).drop("cx", "cy")
     spark = df.sparkSession
@@ -52,8 +50,7 @@ def write_partitioned(
         present = spark.read.option("basePath", url).parquet(url).select("partition").distinct()
         celled = celled.join(present, "partition", "left_anti")
         mode = "append"
-    split = F.pmod(F.xxhash64("geometry"), F.lit(files_per_cell))
-    celled.repartition("partition", split).write.mode(mode).partitionBy("partition").parquet(url)
+    celled.hint("rebalance", "partition").write.mode(mode).partitionBy("partition").parquet(url)
 
 
 def write_product_json(outputs: DataFrame, root: str, indicator: str) -> None:
@@ -83,7 +80,7 @@ def write_region(
         rest = stored.join(placed.select(*cell), list(cell), "left_anti")
         placed = placed.unionByName(rest)
     (
-        placed.repartition("chunk_x", "chunk_y")
+        placed.hint("rebalance", "chunk_x", "chunk_y")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("chunk_x", "chunk_y")
