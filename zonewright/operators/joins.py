@@ -88,7 +88,8 @@ def join_on_cells(
     With a cell side of checked small size it is broadcast and ``rows`` is not
     shuffled. Otherwise both sides are shuffled, and the rows of hot cells are
     spread over several salts by a hash of their key, against a copy of the
-    cell's polygons per salt. The hot list has at most HOT_SHARE rows.
+    cell's polygons per salt. The hot list comes from one counting pass over the
+    cell columns; it has at most HOT_SHARE rows.
     """
     on = list(on)
     if small:
@@ -96,18 +97,19 @@ def join_on_cells(
     per_cell = rows.groupBy(*on).agg(F.count("*").alias("_n"))
     everything = per_cell.agg(F.sum("_n").alias("n"))
     share = F.col("_n") * HOT_SHARE / F.coalesce(everything.scalar(), F.lit(1))
-    hot = (
+    hot = stored(
         per_cell.withColumn("_share", share)
         .filter(F.col("_share") > 1)
         .select(*on, F.ceil("_share").cast("int").alias("_salts"))
     )
+    if hot.isEmpty():
+        return rows.join(cells.hint("shuffle_merge"), on)
     salted_rows = rows.join(F.broadcast(hot), on, "left").withColumn(
         "_salt",
         F.coalesce(F.pmod(F.xxhash64(*row_key), F.col("_salts")).cast("int"), F.lit(0)),
     )
-    salted_cells = cells.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    )
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_cells = cells.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(salts))
     joined = salted_rows.drop("_salts").join(
         salted_cells.drop("_salts").hint("shuffle_merge"), [*on, "_salt"]
     )

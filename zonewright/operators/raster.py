@@ -17,8 +17,8 @@ def chunks_to_pixels(chunks: DataFrame, keys: list[str]) -> DataFrame:
     ``values`` from the bottom row up. Null cells are kept.
     """
     cells = chunks.select(
-        *keys, "x0", "y0", "res", "width", F.posexplode("values").alias("_pos", "value")
-    )
+        *keys, "x0", "y0", "res", "width", F.posexplode_outer("values").alias("_pos", "value")
+    ).filter(F.col("_pos").isNotNull())
     column, row = F.col("_pos") % F.col("width"), F.floor(F.col("_pos") / F.col("width"))
     return cells.select(
         *keys,

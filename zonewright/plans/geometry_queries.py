@@ -72,9 +72,9 @@ def with_bounds(spark, sf_dir):
 
 def _vertex_rows(zones: DataFrame, decimals: int, x: str, y: str) -> DataFrame:
     return (
-        zones.select("zone_id", F.posexplode("geometry").alias("part", "rings"))
-        .select("zone_id", "part", F.posexplode("rings").alias("ring", "vertices"))
-        .select("zone_id", "part", "ring", F.posexplode("vertices").alias("seq", "v"))
+        zones.select("zone_id", F.posexplode_outer("geometry").alias("part", "rings"))
+        .select("zone_id", "part", F.posexplode_outer("rings").alias("ring", "vertices"))
+        .select("zone_id", "part", "ring", F.posexplode_outer("vertices").alias("seq", "v"))
         .select(
             "zone_id", "part", "ring", "seq",
             F.round("v.x", decimals).alias(x), F.round("v.y", decimals).alias(y),

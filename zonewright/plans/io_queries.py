@@ -131,7 +131,7 @@ def index_scenes(spark, sf_dir):
 )
 def rename_single_asset(spark, sf_dir):
     renamed = scenes.rename_single_asset(scene_documents(spark, sf_dir), "seagrass")
-    return renamed.select("id", F.explode("assets").alias("asset", "a")).select("id", "asset", "a.href")
+    return renamed.select("id", F.explode_outer("assets").alias("asset", "a")).select("id", "asset", "a.href")
 
 
 @query(
