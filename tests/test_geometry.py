@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from shapes import box, covers, ring, zones
 from zonewright.functions import geometry as g
+from zonewright.functions.wkb import from_wkb, to_wkb
 from zonewright.operators import geometry as ops
 
 DONUT = [box(0, 0, 10, 10), box(4, 4, 6, 6)]
@@ -168,3 +170,26 @@ def test_clip_to_boxes_drops_empty_rows(spark):
     got = ops.clip_to_boxes(zones(spark, {1: [DONUT]}), boxes, "zone_id")
     areas = [r[0] for r in got.select(F.expr(g.area("geometry"))).collect()]
     assert areas == [24.0]  # the second box lies in the hole, the third outside
+
+
+def test_wkb(spark):
+    # little-endian EWKB of POLYGON ((0 0, 1 0, 1 1, 0 0)), SRID 4326
+    known = (
+        "0103000020E61000000100000004000000"
+        "00000000000000000000000000000000"
+        "000000000000F03F0000000000000000"
+        "000000000000F03F000000000000F03F"
+        "00000000000000000000000000000000"
+    )
+    triangle = [[ring((0, 0), (1, 0), (1, 1))]]
+    df = zones(spark, {1: triangle, 2: [DONUT, CONCAVE], 3: None, 4: []})
+    coded = df.withColumn("wkb", to_wkb(F.col("geometry")))
+    assert coded.filter("zone_id = 1").select(F.hex("wkb")).first()[0] == known
+    for r in coded.withColumn("back", from_wkb(F.col("wkb"))).collect():
+        assert r["back"] == r["geometry"]
+    # big-endian polygon with z (ISO), and a point
+    z = struct.pack(">BIII9d", 0, 1003, 1, 3, 0, 0, 9, 1, 0, 9, 0, 0, 9)
+    point = struct.pack("<BIdd", 1, 1, 1, 2)
+    rows = spark.createDataFrame([(1, bytearray(z)), (2, bytearray(point))], "i int, wkb binary")
+    got = {r["i"]: r["g"] for r in rows.select("i", from_wkb(F.col("wkb")).alias("g")).collect()}
+    assert [(v["x"], v["y"]) for v in got[1][0][0]] == [(0, 0), (1, 0), (0, 0)] and got[2] is None

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from zonewright.functions import geometry as g
 from zonewright.functions import text
-from zonewright.functions.checks import require, require_none, require_rows
+from zonewright.functions.checks import require, require_rows
+from zonewright.functions.wkb import to_wkb
 
 OUTPUT_SCHEMA = T.StructType(
     [
@@ -236,8 +237,18 @@ def geometry_outputs(
     id_column: str = "zone_id",
     name_column: str = "zone_name",
     geometry: str = "geometry",
+    form: str = "wkt",
 ) -> DataFrame:
-    """Payload rows of zones with a geometry; NaN attributes become null."""
+    """Payload rows of zones with a geometry; NaN attributes become null.
+
+    ``form`` is ``wkt``, or ``wkb`` for base64 text of the extended binary form.
+    """
+    if form not in ("wkt", "wkb"):
+        raise ValueError(f"unknown geometry form: {form}")
+    written = (
+        F.expr(g.to_wkt(f"`{geometry}`")) if form == "wkt" else F.base64(to_wkb(F.col(geometry)))
+    )
+
     def clean(field: T.StructField):
         value = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
@@ -249,7 +260,7 @@ def geometry_outputs(
     metadata = F.col("metadata") if "metadata" in df.columns else F.lit("{}")
     return df.filter(F.col(geometry).isNotNull()).select(
         F.col(id_column).cast("string").alias("id"),
-        F.expr(g.to_wkt(f"`{geometry}`")).alias("geometry"),
+        written.alias("geometry"),
         F.col(name_column).alias("name"),
         description.alias("description"),
         metadata.alias("metadata"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonewright.functions import geometry as g
+from zonewright.functions.wkb import to_wkb
 from zonewright.operators import provenance
 from zonewright.operators.geometry import with_centroid
 from zonewright.operators.raster import mosaic
@@ -49,6 +50,24 @@ def read_table(spark, sf_dir):
     )
 
 
+@query(
+    "read_binary_geometry",
+    tables_sql("zone_edges")
+    + """, rings AS (SELECT zone_id, part, ring, ABS(SUM(lon1*lat2-lon2*lat1))/2e0 AS ar, COUNT(*)+1 AS n FROM zone_edges GROUP BY 1,2,3)
+    SELECT zone_id, CAST(SUM(n) AS INT) AS n_vertices, ROUND(SUM(CASE WHEN ring=0 THEN ar ELSE -ar END),6) AS area_deg2 FROM rings GROUP BY 1""",
+)
+def read_binary_geometry(spark, sf_dir):
+    """Zones stored with a binary geometry column, read back as polygons."""
+    root = scratch_path(spark, "zones")
+    zones = inputs.zones(spark, sf_dir).select("zone_id", "geometry")
+    zones.withColumn("geometry", to_wkb(F.col("geometry"))).write.parquet(root)
+    return tables.read_table(spark, root).select(
+        "zone_id",
+        F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
+        F.round(F.expr(g.area("geometry")), 6).alias("area_deg2"),
+    )
+
+
 @query(
     "list_files",
     tables_sql("points") + f", {PARTITIONED_SQL} SELECT DISTINCT country_code, s2_code FROM partitioned",

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from zonewright.functions import geometry as g
+from zonewright.functions.wkb import from_wkb
 
 _COORDINATES = "array<array<array<double>>>"
 
 
-def read_table(spark: SparkSession, url: str) -> DataFrame:
-    """Parquet, else GeoJSON, by suffix; a folder is read as Parquet."""
+def read_table(spark: SparkSession, url: str, geometry: str = "geometry") -> DataFrame:
+    """Parquet, else GeoJSON, by suffix; a folder is read as Parquet.
+
+    A binary geometry column, as GeoParquet has it, is unpacked to polygons.
+    """
     lowered = url.rstrip("/").lower()
     if lowered.endswith((".geojson", ".json")):
         return read_geojson(spark, url)
     name = lowered.rsplit("/", 1)[-1]
     if "." not in name or name.endswith(".parquet"):
-        return spark.read.parquet(url)
+        stored = spark.read.parquet(url)
+        if geometry in stored.columns and stored.schema[geometry].dataType == T.BinaryType():
+            return stored.withColumn(geometry, from_wkb(F.col(geometry)))
+        return stored
     raise ValueError(f"no reader for {url}")
 
 
