@@ -71,7 +71,7 @@ def test_documents_are_written_checked_and_summed_up(spark, folder):
     assert summary["command"] == "process --id {geometry_id} --datetime {datetime}"
     for wrong in (("q", None, None), ("p", "s3://other", None), ("p", None, "s3://other")):
         with pytest.raises(Exception, match="another product or input"):
-            products.consolidate(spark, root, *wrong).collect()
+            products.consolidate(spark, root, *wrong).select("id").collect()
 
 
 def test_consolidating_nothing_is_an_error(spark, folder):
@@ -136,8 +136,9 @@ def test_zone_selection_checks(spark):
     assert filters.select_zones(df, ids(1)).collect()[0]["name"] == "a"
     with pytest.raises(Exception, match="zone id 2 is not unique"):
         filters.select_zones(df, ids(1, 2)).collect()
-    with pytest.raises(Exception, match="zone id 9 not found"):
-        filters.select_zones(df, ids(9)).collect()
+    for wanted in ((9,), (1, 9)):
+        with pytest.raises(Exception, match="zone id 9 not found"):
+            filters.select_zones(df, ids(*wanted)).select("name").collect()
 
 
 def test_name_filter_checks(spark):
@@ -146,6 +147,8 @@ def test_name_filter_checks(spark):
     assert sorted(r["row"] for r in kept.collect()) == [1, 2]
     with pytest.raises(Exception, match="names not found: Samoa"):
         filters.filter_by_names(df, ["a", "b"], ["Fiji", "Samoa"], "src", "t", "row").collect()
+    with pytest.raises(Exception, match="names not found: Samoa"):
+        filters.filter_by_names(df, ["a", "b"], ["Samoa"], "src", "t", "row").count()
     with pytest.raises(ValueError, match="fields not found"):
         filters.filter_by_names(df, ["a", "c"], ["Fiji"], "src", "t", "row")
 

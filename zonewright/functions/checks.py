@@ -11,24 +11,33 @@ def require(value: Column, condition: Column, message: Column | str) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), value).otherwise(F.raise_error(text))
 
 
+def require_each(df: DataFrame, condition: Column, message: Column | str) -> DataFrame:
+    """``df``, or a failed job at the first row that breaks the condition.
+
+    A filter, so the check also holds for readers that use none of the checked columns.
+    """
+    return df.filter(require(F.lit(True), condition, message))
+
+
 def require_none(df: DataFrame, offenders: DataFrame, message: str, limit: int = 20) -> DataFrame:
-    """``df`` unchanged, or a failed job when ``offenders`` (one text column) has rows.
+    """``df``, or a failed job when ``offenders`` (one text column) has rows.
 
-    The offenders are reduced to one row by an ordinary aggregate and read as a
-    scalar subquery, so nothing runs before ``df`` does. ``limit`` bounds the
-    names in the message only.
+    The check is a branch of its own that gives no rows, so it runs with ``df`` and
+    also when ``df`` is empty. ``limit`` bounds the names in the message only.
     """
     name = F.col(offenders.columns[0]).cast("string")
-    found = offenders.select(name.alias("name")).distinct()
-    worst = found.orderBy("name").limit(limit)
-    text = worst.agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
-    # an aggregate without groups always gives one row; '' means nothing found
-    listed = F.coalesce(text.scalar(), F.lit(""))
-    return df.filter(
-        F.when(listed == "", F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit(f"{message}: "), listed)).cast("boolean")
+    found = offenders.select(name.alias("name")).distinct().orderBy("name").limit(limit)
+    # an aggregate without groups always gives one row; '' means nothing was found
+    listed = found.agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
+    failed = listed.filter(
+        F.when(F.col("names") == "", F.lit(False)).otherwise(
+            F.raise_error(F.concat(F.lit(f"{message}: "), F.col("names"))).cast("boolean")
         )
     )
+    nothing = failed.select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields)
+    )
+    return df.unionByName(nothing)
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

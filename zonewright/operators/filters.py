@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from zonewright.functions import geometry as g
 from zonewright.functions import text
-from zonewright.functions.checks import require, require_none
+from zonewright.functions.checks import require_each, require_none
 from zonewright.operators.joins import spatial_join_points, spatial_join_polygons
 
 
@@ -112,18 +112,14 @@ def select_zones(zones: DataFrame, ids: DataFrame, zone_id: str = "zone_id") ->
     asked = ids.select(zone_id).distinct()
     found = zones.join(asked, zone_id, "left_semi")
     counts = found.groupBy(zone_id).agg(F.count("*").alias("_rows"))
-    checked = asked.join(counts, zone_id, "left").select(
-        require(
-            F.col(zone_id),
-            F.col("_rows") == 1,
-            F.concat(
-                F.lit("zone id "),
-                F.col(zone_id).cast("string"),
-                F.when(F.col("_rows").isNull(), " not found").otherwise(" is not unique"),
-            ),
-        ).alias(zone_id)
+    message = F.concat(
+        F.lit("zone id "),
+        F.col(zone_id).cast("string"),
+        F.when(F.col("_rows").isNull(), " not found").otherwise(" is not unique"),
     )
-    return checked.join(found, zone_id)
+    checked = require_each(asked.join(counts, zone_id, "left"), F.col("_rows") == 1, message)
+    # a left join: an inner one would skip the checked side when no zone is found at all
+    return checked.drop("_rows").join(found, zone_id, "left")
 
 
 def filter_by_names(

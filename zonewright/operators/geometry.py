@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from zonewright.functions import geometry as g
 from zonewright.functions import projection as proj
-from zonewright.functions.checks import require
+from zonewright.functions.checks import require_each
 from zonewright.functions.rows import unnest
 
 BOUNDS = ("minx", "miny", "maxx", "maxy")
@@ -215,7 +215,7 @@ def geometry_checks(
     # The accepted geometry kinds.
     known = F.col(kind).isin("Polygon", "MultiPolygon")
     message = F.concat(F.lit("only Polygon and MultiPolygon are supported, not "), F.col(kind))
-    return shaped.withColumn(kind, require(F.col(kind), known, message))
+    return require_each(shaped, known, message)
 
 
 def geometry_counts(df: DataFrame, geometry: str = "geometry") -> DataFrame:

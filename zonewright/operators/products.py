@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from zonewright.functions import geometry as g
 from zonewright.functions import text
-from zonewright.functions.checks import require, require_rows
+from zonewright.functions.checks import require_each, require_rows
 from zonewright.functions.wkb import to_wkb
 
 OUTPUT_SCHEMA = T.StructType(
@@ -134,7 +134,7 @@ def consolidate(
     if dataset_url is not None:
         right = right & (F.col("metadata.datasetProvenanceUrl") == dataset_url)
     message = F.concat(F.lit("document of another product or input: "), F.col("_file"))
-    return documents.withColumn("productId", require(F.col("productId"), right, message)).drop("_file")
+    return require_each(documents, right, message).drop("_file")
 
 
 def run_summary(outputs: DataFrame) -> DataFrame:
@@ -219,12 +219,8 @@ def add_id_name(
     named = F.col(name_field)
     message = F.concat(F.lit("null or blank name at "), F.col(source_key).cast("string"))
     unique = text.uuid5(F.concat(F.lit(key + run_time), F.col(source_key).cast("string")), namespace)
-    return df.withColumns(
-        {
-            id_column: unique,
-            name_column: require(named, named.isNotNull() & (named != ""), message),
-        }
-    )
+    checked = require_each(df, named.isNotNull() & (named != ""), message)
+    return checked.withColumns({id_column: unique, name_column: named})
 
 
 def duplicate_names(df: DataFrame, name_field: str) -> DataFrame:

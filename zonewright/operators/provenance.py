@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from zonewright.functions.checks import require
+from zonewright.functions.checks import require_each
 
 # The data formats a record may name.
 DATA_FORMATS = ["stac-geoparquet", "geoparquet", "parquet"]
@@ -58,14 +58,14 @@ def provenance_rows(
     the data address stands in for it.
     """
     kind = F.col("data_type")
-    supported = require(
-        kind, kind.isin(DATA_FORMATS), F.concat(F.lit("unsupported data type: "), kind)
+    checked = require_each(
+        info, kind.isin(DATA_FORMATS), F.concat(F.lit("unsupported data type: "), kind)
     )
     data_url = F.col("data_url")
     source = F.col("source_url") if "source_url" in info.columns else F.lit(None).cast("string")
-    return info.select(
+    return checked.select(
         "id",
-        supported.alias("dataType"),
+        kind.alias("dataType"),
         F.replace(F.col("tag"), F.lit('"'), F.lit("")).alias("dataEtag"),
         F.col("size").alias("dataSize"),
         data_url.alias("dataUrl"),

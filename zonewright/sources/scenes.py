@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from zonewright.functions.checks import require, require_none
+from zonewright.functions.checks import require_each, require_none
 
 ITEM_SCHEMA = T.StructType(
     [
@@ -66,8 +66,8 @@ def rename_single_asset(items: DataFrame, name: str) -> DataFrame:
         F.lit(" has "),
         F.coalesce(F.size("assets"), F.lit(0)).cast("string"),
     )
-    single = require(F.col("assets"), F.size("assets") == 1, message)
-    return items.withColumn("assets", F.transform_keys(single, lambda key, _: F.lit(name)))
+    single = require_each(items, F.size("assets") == 1, message)
+    return single.withColumn("assets", F.transform_keys("assets", lambda key, _: F.lit(name)))
 
 
 def index_scenes(
