@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
     import numpy as np
 
     lengths = np.asarray(
-        pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64
+        pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
     )
     start, held = 0, 0
     for i, n in enumerate(lengths.tolist()):
