@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from zonewright.llm import quality_queries  # noqa: F401
+from zonewright.llm import (  # noqa: F401
+    bpe_queries,
+    quality_queries,
+    suffix_queries,
+    token_queries,
+    warc_queries,
+)
 from zonewright.llm.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
