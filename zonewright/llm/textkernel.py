@@ -119,8 +119,8 @@ def shingles(
     for text in np.flatnonzero((per_text > 0) & (per_text < size)).tolist():
         k = int(per_text[text])
         part = hashes[first[text] : first[text] + k]
-        total = (part * factors[:k]).sum(dtype=_U) + _U(k) * _U(0xA0761D6478BD642F)
-        found.append(mix(np.array([total], _U)))
+        length = np.array([k], _U) * _U(0xA0761D6478BD642F)
+        found.append(mix(length + (part * factors[:k]).sum(dtype=_U)))
         of.append(np.array([text]))
     values, texts = np.concatenate(found), np.concatenate(of)
     order = np.lexsort((values, texts))
