@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from zonewright.llm import (  # noqa: F401
     bpe_queries,
+    decontamination_queries,
     jaccard_queries,
     quality_queries,
     suffix_queries,
