@@ -9,13 +9,13 @@ sorted. The work has two passes over the texts:
    splitters over (token, span, place), so that even one very frequent token splits over many
    buckets. A span that stands earlier in the same bucket is removed at once. Suffixes with an
    unrepeated token are dropped. What is left (tokens with several different spans, and the
-   first and last token of each bucket) is a candidate.
-2. Candidates get their bytes and are dealt out again by leading token and place. Each
-   bucket sorts them by multikey quicksort, once by what follows the anchor and once by what
-   precedes it, backwards; the common prefixes of neighbours then number all windows exactly,
-   and the earliest holder of each window stays. Tokens cut by a bucket's edge are compared
-   across boundaries: the first holder of each of their windows in each bucket, a 128-bit
-   digest and a place, at most one row for each bucket and window.
+   first and last token of each bucket, which may go on in the next one) is a candidate.
+2. Candidates get their bytes and are dealt out again by sampled splitters over the leading
+   token. Each bucket sorts them by multikey quicksort, once by what follows the anchor and
+   once by what precedes it, backwards; the common prefixes of neighbours then number all
+   windows exactly, and the earliest holder of each window stays. A token with more than
+   ``SPLIT_ROWS`` candidates is split over buckets and compared across their boundaries: each
+   part sends the first holder of each of its windows, a 128-bit digest and a place.
 
 The removed runs of a document are gathered, merged and cut out of its bytes.
 
@@ -45,8 +45,10 @@ LENGTH = 100
 ANCHOR = 24
 #: Anchor positions inside a window of LENGTH bytes.
 PLACES = LENGTH - ANCHOR + 1
-#: Rows that a bucket sorts at a time; a token cut by this edge is compared across it.
+#: Rows that a bucket sorts at a time, in whole tokens.
 BLOCK_ROWS = 40_000
+#: Candidates of one token above which it is split over buckets.
+SPLIT_ROWS = 20_000
 
 _GRAM = weights(3, 7)
 _STEP = 0x9E3779B97F4A7C15 | 1
@@ -135,7 +137,7 @@ def _columns(batches: Iterator[pa.RecordBatch], names: list[str]) -> list[np.nda
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchored suffixes of the texts ``_bytes``."""
     for batch in batches:
-        for part in slices(batch, "_bytes", 2 << 20):
+        for part in slices(batch, "_bytes", 1 << 20):
             data, offsets = text_buffer(part.column("_bytes"))
             token, span, owner, first, last, where = anchors(data, offsets)
             ids = part.column("_id").to_numpy(zero_copy_only=False)
@@ -289,72 +291,73 @@ def _resolve(
 
 
 def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of one bucket of candidates, resolved in blocks of bounded size."""
-    held: list[pa.RecordBatch] = []
-    count = 0
+    """Windows of one bucket of candidates, resolved in blocks of whole tokens."""
+    names = ["digest", "id", "tag", "first", "last"]
 
-    def block(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        token, ids, place = (table[c].to_numpy() for c in ("token", "id", "place"))
+    def block(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        token, ids, place, part = (
+            table[c].to_numpy() for c in ("token", "id", "place", "part")
+        )
         order = np.lexsort((place, ids, token))
-        token, ids, place = token[order], ids[order], place[order]
+        token, ids, place, part = token[order], ids[order], place[order], part[order]
         raw = table["bytes"].take(pa.array(order)).to_pylist()
-        edge = (token == token[0]) | (token == token[-1])
-        runs, undecided = _resolve(token, ids, place, raw, edge)
+        runs, undecided = _resolve(token, ids, place, raw, part > 0)
         for start in range(0, len(runs), 50_000):
             a = np.array(runs[start : start + 50_000], dtype=np.int64)
-            none = pa.nulls(len(a), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [none, *(pa.array(a[:, k]) for k in range(4))],
-                names=["digest", "id", "tag", "first", "last"],
-            )
+            columns = [pa.array(a[:, k].copy()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.binary()), *columns], names)
         for start in range(0, len(undecided), 50_000):
-            part = undecided[start : start + 50_000]
-            starts = pa.array([p[3] for p in part], pa.int64())
+            some = undecided[start : start + 50_000]
+            at = pa.array([p[3] for p in some], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([p[0] for p in part], pa.binary()),
-                    pa.array([p[1] for p in part], pa.int64()),
-                    pa.array([p[2] >> 48 for p in part], pa.int64()),
-                    starts,
-                    starts,
+                    pa.array([p[0] for p in some], pa.binary()),
+                    pa.array([p[1] for p in some], pa.int64()),
+                    pa.array([p[2] >> 48 for p in some], pa.int64()),
+                    at,
+                    at,
                 ],
-                names=["digest", "id", "tag", "first", "last"],
+                names,
             )
 
+    held: pa.Table | None = None
     for batch in batches:
-        for at in range(0, batch.num_rows, BLOCK_ROWS // 4):
-            part = batch.slice(at, BLOCK_ROWS // 4)
-            if count + part.num_rows > BLOCK_ROWS:
-                yield from block(held)
-                held, count = [], 0
-            held.append(part)
-            count += part.num_rows
-    if count:
-        yield from block(held)
+        new = pa.Table.from_batches([batch])
+        held = new if held is None else pa.concat_tables([held, new])
+        if held.num_rows > BLOCK_ROWS:
+            # cut where a new token, or a new part of a split token, begins
+            held = held.combine_chunks()
+            cut = np.flatnonzero(_changes(held["token"].to_numpy(), held["part"].to_numpy()))[-1]
+            if cut:
+                yield from block(held.slice(0, cut))
+                held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield from block(held.combine_chunks())
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the candidates of each text."""
     for batch in batches:
         for part in slices(batch, "_bytes", 2 << 20):
-            token, ids, place, raw = [], [], [], []
+            token, part_of, ids, place, raw = [], [], [], [], []
             for row in part.to_pylist():
                 data = row["_bytes"]
                 for found in row["_wanted"]:
                     start, more = (found["place"] >> 14) & ((1 << 34) - 1), found["place"] >> 7 & 127
                     token.append(found["token"])
+                    part_of.append(found["part"])
                     ids.append(row["_id"])
                     place.append(found["place"])
                     raw.append(data[start : start + more + LENGTH])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(token, pa.int64()),
+                    pa.array(part_of, pa.int32()),
                     pa.array(ids, pa.int64()),
                     pa.array(place, pa.int64()),
                     pa.array(raw, pa.binary()),
                 ],
-                names=["token", "id", "place", "bytes"],
+                names=["token", "part", "id", "place", "bytes"],
             )
 
 
@@ -369,8 +372,8 @@ def merge_runs(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
-    """Byte ranges to remove: ``id``, ``tag``, ``begin``, ``finish``; ranges may overlap.
+def repeated_runs(docs: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """Byte ranges to remove: ``id``, ``tag``, ``begin``, ``length``; ranges may overlap.
 
     ``docs`` has ``_id`` (null as the smallest long), ``_tag`` and ``_bytes``.
     """
@@ -388,41 +391,55 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         "id",
         tag.alias("tag"),
         start.alias("begin"),
-        (start + F.shiftright("place", 7).bitwiseAND(127) + LENGTH).alias("finish"),
+        (F.shiftright("place", 7).bitwiseAND(127) + LENGTH).alias("length"),
     )
-    wanted = measured(
-        first.filter("kind = 1")
+    candidate = first.filter("kind = 1")
+    frequent = measured(
+        candidate.groupBy(F.col("token").alias("_frequent"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > split_rows),
+        "suffix-frequent",
+    )
+    spread = F.pmod(F.xxhash64("id", "place"), F.ceil(F.col("_n") / split_rows)) + 1
+    wanted = (
+        candidate.join(frequent, F.col("token") == F.col("_frequent"), "left")
+        .select("token", F.coalesce(spread, F.lit(0)).cast("int").alias("part"), "id", "place")
         .groupBy(F.col("id").alias("_of"), tag.cast("int").alias("_of_tag"))
-        .agg(F.collect_list(F.struct("token", "place")).alias("_wanted")),
-        "suffix-candidates",
+        .agg(F.collect_list(F.struct("token", "part", "place")).alias("_wanted"))
     )
-    candidates = (
+    spans = (
         docs.join(wanted, (F.col("_id") == F.col("_of")) & (F.col("_tag") == F.col("_of_tag")))
         .select("_id", "_bytes", "_wanted")
-        .mapInArrow(_spans, "token bigint, id bigint, place bigint, bytes binary")
+        .mapInArrow(_spans, "token bigint, part int, id bigint, place bigint, bytes binary")
     )
     resolved = materialize(
-        candidates.repartitionByRange(parts, "token", "id", "place")
-        .sortWithinPartitions("token", "id", "place")
+        spans.repartitionByRange(parts, "token", "part")
+        .sortWithinPartitions("token", "part")
         .mapInArrow(
             _second_pass, "digest binary, id bigint, tag bigint, first bigint, last bigint"
         ),
         "suffix-second",
     )
-    by_window = resolved.filter("digest IS NULL").select(
-        "id", "tag", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("finish")
-    )
+    place = ["id", "tag", F.col("first").alias("begin")]
+    length = (F.col("last") - F.col("first") + LENGTH).alias("length")
     earliest = Window.partitionBy("digest").orderBy("id", "tag", "first")
     across = (
         resolved.filter("digest IS NOT NULL")
         .withColumn("_rank", F.dense_rank().over(earliest))
         .filter("_rank > 1")
-        .select("id", "tag", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("finish"))
     )
-    return by_span.unionByName(by_window).unionByName(across)
+    return (
+        by_span.unionByName(resolved.filter("digest IS NULL").select(*place, length))
+        .unionByName(across.select(*place, length))
+    )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_bytes``.
 
     The ranges of one document are gathered in one row, bounded by its own length.
@@ -435,11 +452,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "_bytes": text.cast("binary"),
         }
     )
-    runs = measured(
-        repeated_runs(keyed.select("_id", "_tag", "_bytes"))
+    packed = F.shiftleft("begin", 8).bitwiseOR(F.col("length"))
+    runs = (
+        repeated_runs(keyed.select("_id", "_tag", "_bytes"), split_rows)
         .groupBy(F.col("id").alias("_of"), F.col("tag").cast("int").alias("_of_tag"))
-        .agg(F.collect_set(F.struct("begin", "finish")).alias("_runs")),
-        "suffix-runs",
+        .agg(F.collect_list(packed).alias("_runs"))
     )
     joined = keyed.join(
         runs, (F.col("_id") == F.col("_of")) & (F.col("_tag") == F.col("_of_tag")), "left"
@@ -459,7 +476,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 sizes, removed, spans, rest = [], [], [], []
                 runs_of = part.column("_runs").to_pylist()
                 for raw, found in zip(part.column("_bytes").to_pylist(), runs_of):
-                    merged = merge_runs([(r["begin"], r["finish"]) for r in found or []])
+                    merged = merge_runs([(r >> 8, (r >> 8) + (r & 255)) for r in found or []])
                     out, at = [], 0
                     for begin, end in merged:
                         out.append(raw[at:begin])
