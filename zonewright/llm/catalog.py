@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import corpus_pipeline  # noqa: F401
 from zonewright.llm import (  # noqa: F401
     bpe_queries,
     decontamination_queries,
     jaccard_queries,
+    nbsvm_queries,
+    preference_queries,
     quality_queries,
     suffix_queries,
     token_queries,
+    url_queries,
     warc_queries,
 )
 from zonewright.llm.registry import CHECKS, QUERIES
