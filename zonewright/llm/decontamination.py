@@ -81,8 +81,11 @@ class ItemIndex:
     ):
         """``terms`` and ``documents``: every term of any item and how many items have it."""
         self.names = names
-        self.questions = [grams(q) for q in questions]
-        self.answers = [grams(a) for a in answers]
+        #: n-gram size and distinct n-grams of each side of each item
+        self.sides = [
+            [(min(GRAM, len(words)), grams(words)) for words in side]
+            for side in (questions, answers)
+        ]
         self.window = 1
         found: list[tuple[int, int, float]] = []
         for item, (question, answer) in enumerate(zip(questions, answers)):
@@ -268,11 +271,10 @@ def scan_batch(index: ItemIndex, texts: pa.Array, threshold: float, overlap: flo
         first = int((number - base[text]) * index.window)
         for item, score in index.search(term[start:end].tolist(), threshold):
             here = hashes[offsets[text] + first : offsets[text + 1]][: 2 * index.window]
-            present = grams(here)
-            shares = [
-                float(np.isin(side[item], present).mean()) if len(side[item]) else 1.0
-                for side in (index.questions, index.answers)
-            ]
+            shares = []
+            for size, asked in (side[item] for side in index.sides):
+                present = np.isin(asked, grams(here, size)) if size else np.ones(1)
+                shares.append(float(present.mean()))
             if min(shares) >= overlap:
                 out.append((text, item, score, *shares, first))
     return out
