@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import codecs
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,6 +33,9 @@ from zonewright.llm.pieces import PieceEncoder
 PATTERN = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
+#: Of a pair that no rule merges; multiplier of the pair table's hash.
+NO_RULE = 1 << 62
+PAIR_STEP = 0x9E3779B97F4A7C15
 RUNS = [regex.compile(p) for p in (r"\p{L}*", r"\p{N}*", r"[^\s\p{L}\p{N}]*", r"\s*")]
 
 
@@ -62,7 +66,11 @@ class MergeTable:
         for rule in content["model"]["merges"]:
             left, right = rule.split(" ") if isinstance(rule, str) else rule
             self.rules.append((vocab[left], vocab[right], vocab[left + right]))
-        self.rank = {a << 32 | b: (n, c) for n, (a, b, c) in reversed(list(enumerate(self.rules)))}
+        # rank and result of a pair in one number, so that the smallest is the next rule
+        self.rank = {
+            a << 32 | b: n << 32 | c for n, (a, b, c) in reversed(list(enumerate(self.rules)))
+        }
+        self._table = self._pair_table()
         self.special_pattern = (
             regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
             if self.special
@@ -90,14 +98,14 @@ class MergeTable:
     def merge(self, data: bytes) -> list[int]:
         """Tokens of one pre-token, or of a window of one."""
         ids = [self.byte_id[b] for b in data]
-        rank, none = self.rank, (1 << 60, 0)
+        rank, none = self.rank, 1 << 62
         found = [rank.get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while found:
             low = min(found)
-            if low is none:
+            if low == none:
                 break
             i = found.index(low)
-            ids[i : i + 2] = [low[1]]
+            ids[i : i + 2] = [low & 0xFFFFFFFF]
             del found[i]
             if i:
                 found[i - 1] = rank.get(ids[i - 1] << 32 | ids[i], none)
@@ -106,6 +114,66 @@ class MergeTable:
         return ids
 
 
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs and their rules in an open hash table, for lookups of many at once."""
+        pairs, rules = np.full(1 << 19, -1), np.full(1 << 19, NO_RULE)
+        for pair, rule in self.rank.items():
+            at = (pair * PAIR_STEP & (1 << 64) - 1) >> 45
+            while pairs[at] >= 0:
+                at = (at + 1) % len(pairs)
+            pairs[at], rules[at] = pair, rule
+        return pairs, rules
+
+    def rules_of(self, pair: np.ndarray) -> np.ndarray:
+        """Rank and result of each pair in one number, NO_RULE where there is none."""
+        pairs, rules = self._table
+        at = (pair.astype(np.uint64) * np.uint64(PAIR_STEP) >> np.uint64(45)).astype(np.int64)
+        out = rules[at]
+        other = np.flatnonzero((pairs[at] != pair) & (pairs[at] >= 0))
+        out[pairs[at] != pair] = NO_RULE
+        while len(other):
+            at[other] = (at[other] + 1) % len(pairs)
+            found = pairs[at[other]]
+            hit = found == pair[other]
+            out[other[hit]] = rules[at[other[hit]]]
+            other = other[~hit & (found >= 0)]
+        return out
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """Ids of many short pre-tokens, as little-endian 32-bit numbers.
+
+        Each round applies the leftmost rule of best rank in every word; words without a rule
+        are done.
+        """
+        if not words:
+            return []
+        lengths = np.array([len(w) for w in words])
+        ids = np.array(self.byte_id)[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), lengths)
+        done_ids, done_owner = [], []
+        while len(ids):
+            rule = np.full(len(ids), NO_RULE)
+            rule[:-1] = self.rules_of(ids[:-1] << 32 | ids[1:])
+            rule[:-1][owner[:-1] != owner[1:]] = NO_RULE
+            starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            # rank in front of the place; a rule's result is looked up again at its place
+            order = np.where(rule == NO_RULE, NO_RULE, (rule >> 32 << 32) + np.arange(len(ids)))
+            best = np.minimum.reduceat(order, starts)
+            going = best != NO_RULE
+            live = np.repeat(going, np.diff(np.append(starts, len(ids))))
+            done_ids.append(ids[~live])
+            done_owner.append(owner[~live])
+            at = best[going] & 0xFFFFFFFF
+            ids[at] = rule[at] & 0xFFFFFFFF
+            live[at + 1] = False
+            ids, owner = ids[live], owner[live]
+        owner = np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        raw = np.concatenate(done_ids)[order].astype("<u4").tobytes()
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))) * 4
+        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
 class Transducer:
     """Tokens of one pre-token that arrives in parts; holds at most a window of bytes."""
 
@@ -221,22 +289,38 @@ def merge_table(path: str) -> MergeTable:
     return MergeTable(path)
 
 
+#: Pre-tokens up to so many bytes end inside the transducer's window; they are flushed together.
+SHORT = 64
+
+
 @lru_cache(maxsize=1)
 def piece_encoder(path: str) -> PieceEncoder:
     """The transducer's tokens by piece; one per Python worker."""
     table = merge_table(path)
     transducer = Transducer(table)
+    special = {text: struct.pack("<I", i) for text, i in table.special.items()}
+
+    def split(piece: str) -> list[str]:
+        """Pre-tokens and special tokens of a piece."""
+        if not [text for text in special if text in piece]:
+            return PATTERN.findall(piece)
+        out = []
+        for part in table.special_pattern.split(piece):
+            out += [part] if part in special else PATTERN.findall(part)
+        return out
 
-    def tokens(piece: str) -> bytes:
-        ids: list[int] = []
-        for part in table.special_pattern.split(piece) if table.special_pattern else [piece]:
-            if part in table.special:
-                ids.append(table.special[part])
-                continue
-            for token in PATTERN.findall(part):
-                ids += transducer.feed(token.encode())
-                ids += transducer.finish()
-        return np.array(ids, dtype="<u4").tobytes()
+    def tokens(found: list[str]) -> list[bytes]:
+        lists = [split(piece) for piece in found]
+        known = dict(special)
+        distinct = {token for tokens in lists for token in tokens}.difference(known)
+        raw = {token: token.encode() for token in distinct}
+        short = [token for token in distinct if len(raw[token]) <= SHORT]
+        known.update(zip(short, table.merge_many([raw[token] for token in short])))
+        for token in distinct.difference(known):
+            ids = transducer.feed(raw[token])
+            ids += transducer.finish()
+            known[token] = struct.pack(f"<{len(ids)}I", *ids)
+        return [b"".join([known[token] for token in tokens]) for tokens in lists]
 
     return PieceEncoder(tokens)
 
@@ -263,7 +347,7 @@ def encode_texts(
         encode = piece_encoder(vocabulary).encode
         for batch in batches:
             for part in slices(batch, text_col):
-                found = [encode(x.as_py() or "") for x in part.column(text_col)]
+                found = encode([x or "" for x in part.column(text_col).to_pylist()])
                 offsets = np.zeros(len(found) + 1, dtype=np.int32)
                 np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
                 ids = pa.array(np.frombuffer(b"".join(found), dtype="<i4"))

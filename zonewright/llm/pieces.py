@@ -9,46 +9,79 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+_STOPS = (".", ",")
 _CUT = re.compile(r" (?<=\S )(?=\S)")
 
 
-def pieces(text: str) -> list[str]:
-    """Parts of ``text``; joined by single spaces they give it back.
+def pieces(text: str) -> list[list[str]]:
+    """Lines of parts of ``text``: parts joined by single spaces, lines by single line feeds.
 
-    Every part after the first is to be tokenized with one space before it.
+    Every part of a line after its first is to be tokenized with one space before it, and each
+    line feed alone.
     """
-    parts = text.split(" ")
+    lines = [line.split(" ") for line in text.split("\n")]
     # every white space is a single space or line feed inside the text
-    if len(text.split()) == len(parts) + text.count("\n"):
-        return parts
-    return _CUT.split(text)
+    if len(text.split()) == sum(map(len, lines)):
+        return lines
+    return [_CUT.split(text)]
 
 
-class Memo(dict):
-    """Results by piece, emptied when it holds too many, so that memory stays bounded."""
-
-    def __init__(self, compute: Callable[[str], bytes], limit: int = 300_000, longest: int = 64):
-        super().__init__()
-        self.compute, self.limit, self.longest = compute, limit, longest
+class PieceEncoder:
+    """Token ids of whole texts as little-endian 32-bit numbers, piece by piece.
 
-    def __missing__(self, piece: str) -> bytes:
-        found = self.compute(piece)
-        if len(piece) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[piece] = found
-        return found
+    ``compute`` tokenizes many pieces at once. Results are kept by piece up to ``limit`` of them,
+    then forgotten, so that memory stays bounded; long pieces are not kept.
+    """
 
+    def __init__(
+        self,
+        compute: Callable[[list[str]], list[bytes]],
+        limit: int = 400_000,
+        longest: int = 64,
+    ):
+        self.compute, self.limit, self.longest = compute, limit, longest
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        *stops, self.feed = compute([*_STOPS, "\n"])
+        self.stops = dict(zip(_STOPS, stops))
 
-class PieceEncoder:
-    """Token ids of whole texts as little-endian 32-bit numbers, piece by piece."""
+    def _known(self, held: dict[str, bytes], needed: set[str], before: str) -> list[str]:
+        """Makes sure that all of ``needed`` are held; returns those to forget again.
 
-    def __init__(self, compute: Callable[[str], bytes]):
-        self.first = Memo(compute, limit=20_000)
-        self.later = Memo(lambda piece: compute(" " + piece))
+        A stop or comma after a letter is a pre-token of its own, so pieces that differ only
+        in it are computed once.
+        """
+        missing = list(needed.difference(held))
+        if len(held) + len(missing) > self.limit:
+            held.clear()
+            missing = list(needed)
+        ended = [p for p in missing if p[-1:] in _STOPS and p[-2:-1].isalpha()]
+        stems = {p[:-1] for p in ended}
+        fresh = list(stems.union(missing).difference(ended, held))
+        held.update(zip(fresh, self.compute([before + piece for piece in fresh])))
+        for piece in ended:
+            held[piece] = held[piece[:-1]] + self.stops[piece[-1]]
+        return [piece for piece in (*missing, *stems) if len(piece) > self.longest]
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = pieces(text)
-        return self.first[parts[0]] + b"".join(map(self.later.__getitem__, parts[1:]))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [pieces(text) for text in texts]
+        heads: set[str] = set()
+        needed: set[str] = set()
+        for lines in split:
+            for parts in lines:
+                heads.add(parts[0])
+                needed.update(parts[1:])
+        drop_first = self._known(self.first, heads, "")
+        drop_later = self._known(self.later, needed, " ")
+        first, later = self.first, self.later.__getitem__
+        out = [
+            self.feed.join(
+                [first[parts[0]] + b"".join(map(later, parts[1:])) for parts in lines]
+            )
+            for lines in split
+        ]
+        for piece in drop_first:
+            self.first.pop(piece, None)
+        for piece in drop_later:
+            self.later.pop(piece, None)
+        return out

@@ -144,9 +144,9 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def ids(piece: str) -> bytes:
-        found = tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(found, dtype="<u4").tobytes()
+    def ids(found: list[str]) -> list[bytes]:
+        encoded = tokenizer.encode_batch_fast(found, add_special_tokens=False)
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in encoded]
 
     return PieceEncoder(ids)
 
@@ -167,8 +167,9 @@ def _write_files(
             writer = FrameWriter(sink)
             for part in itertools.chain([first], rows):
                 names = part.column(id_col).to_pylist()
-                for name, text in zip(names, part.column(text_col)):
-                    writer.add(name, encode(text.as_py() or "") + end)
+                texts = [text or "" for text in part.column(text_col).to_pylist()]
+                for name, found in zip(names, encode(texts)):
+                    writer.add(name, found + end)
             documents, ids = writer.close()
         yield pa.RecordBatch.from_pylist(
             [{"number": number, "path": address, "documents": documents, "ids": ids}],
