@@ -375,7 +375,7 @@ def decode_ids(
                     decoder, out = StreamDecoder(table), []
                     ids = row.values.drop_null() if row.is_valid else pa.array([], pa.int32())
                     for start in range(0, len(ids), block):
-                        out.append(decoder.feed(ids.slice(start, block).to_pylist()))
+                        out.append(decoder.feed(ids.slice(start, block).to_numpy().tolist()))
                     out.append(decoder.finish())
                     texts.append("".join(out))
                 yield _with_column(part, text_col, pa.array(texts, pa.string()))
