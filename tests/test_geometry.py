@@ -187,9 +187,22 @@ def test_wkb(spark):
     assert coded.filter("zone_id = 1").select(F.hex("wkb")).first()[0] == known
     for r in coded.withColumn("back", from_wkb(F.col("wkb"))).collect():
         assert r["back"] == r["geometry"]
-    # big-endian polygon with z (ISO), and a point
+    # big-endian polygon with z (ISO)
     z = struct.pack(">BIII9d", 0, 1003, 1, 3, 0, 0, 9, 1, 0, 9, 0, 0, 9)
-    point = struct.pack("<BIdd", 1, 1, 1, 2)
-    rows = spark.createDataFrame([(1, bytearray(z)), (2, bytearray(point))], "i int, wkb binary")
+    rows = spark.createDataFrame([(1, bytearray(z)), (2, None)], "i int, wkb binary")
     got = {r["i"]: r["g"] for r in rows.select("i", from_wkb(F.col("wkb")).alias("g")).collect()}
     assert [(v["x"], v["y"]) for v in got[1][0][0]] == [(0, 0), (1, 0), (0, 0)] and got[2] is None
+    point = spark.createDataFrame([(bytearray(struct.pack("<BIdd", 1, 1, 1, 2)),)], "wkb binary")
+    with pytest.raises(Exception, match="geometry of kind 1"):
+        point.select(from_wkb(F.col("wkb"))).collect()
+
+
+def test_small_zones_survive_clip_and_split(spark):
+    tiny = [[ring((10, 10), (10.0001, 10), (10.0001, 10.0001), (10, 10.0001))]]
+    df = zones(spark, {1: tiny})
+    assert ops.split_antimeridian(df).count() == 1
+    world = spark.createDataFrame(
+        [(1, -180.0, -90.0, 180.0, 90.0)],
+        "zone_id int, minx double, miny double, maxx double, maxy double",
+    )
+    assert ops.clip_to_boxes(df, world, ["zone_id"]).count() == 1

@@ -79,6 +79,15 @@ def test_polygon_join_equals_brute_force(spark, limit):
     assert got == expected and len(got) > 200
 
 
+@pytest.mark.parametrize("limit", [0, joins.BROADCAST_BYTES])
+def test_pairs_of_zones_with_null_or_equal_attributes(spark, limit):
+    same = zones(spark, {1: [[box(0, 0, 2, 2)]], 2: [[box(1, 1, 3, 3)]]})
+    named = same.select(F.lit(None).cast("string").alias("name"), F.lit(7).alias("zone_id"), "geometry")
+    features = zones(spark, {5: [[box(1.2, 1.2, 1.5, 1.5)]]}, "feature_id")
+    pairs = joins.candidate_pairs(features, named, ["feature_id"], broadcast_bytes=limit)
+    assert [(r["feature_id"], r["zone_id"], r["name"]) for r in pairs.collect()] == [(5, 7, None)] * 2
+
+
 def test_point_join_plan_has_no_nested_loop(spark):
     points = spark.createDataFrame([(1, 0.5, 0.5)], "point_id int, lon double, lat double")
     hits = joins.spatial_join_points(points, zones(spark, some_zones()), ["zone_id"], ["point_id"])

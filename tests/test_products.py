@@ -74,6 +74,28 @@ def test_documents_are_written_checked_and_summed_up(spark, folder):
             products.consolidate(spark, root, *wrong).select("id").collect()
 
 
+def test_documents_of_earlier_runs_stay(spark, folder):
+    root = f"{folder}/reruns"
+    both = outputs(spark)
+    of_year = {y: both.filter(F.col("timePoint").startswith(y)) for y in ("2020", "2021")}
+    sinks.write_product_json(of_year["2020"], root, "reef")
+    sinks.write_product_json(of_year["2021"], root, "reef")
+    sinks.write_product_json(both, root, "reef")  # a rerun adds nothing
+    other = outputs(spark, "q").filter(F.col("geometryOutputId") == "1")
+    sinks.write_product_json(other, root, "reef")
+
+    def stored():
+        rows = spark.read.json(f"{root}/reef").collect()
+        return sorted((r["productId"], r["geometryOutputId"], r["timePoint"][:4], r["productRunId"]) for r in rows)
+
+    keys = [("p", z, y) for z in "12" for y in ("2020", "2021")] + [("q", "1", y) for y in ("2020", "2021")]
+    assert [k[:3] for k in stored()] == sorted(keys)
+    anew = of_year["2020"].filter(F.col("geometryOutputId") == "1").withColumn("productRunId", F.lit("anew"))
+    sinks.write_product_json(anew, root, "reef", overwrite=True)
+    assert [k[:3] for k in stored()] == sorted(keys)
+    assert [k[:3] for k in stored() if k[3] == "anew"] == [("p", "1", "2020")]
+
+
 def test_consolidating_nothing_is_an_error(spark, folder):
     os.makedirs(f"{folder}/empty")
     with pytest.raises(Exception, match="no product documents"):
@@ -81,11 +103,11 @@ def test_consolidating_nothing_is_an_error(spark, folder):
 
 
 def test_payloads_group_by_indicator_and_time(spark):
-    rows = products.product_payloads(outputs(spark), "r").collect()
+    rows = products.product_payloads(outputs(spark), "r", n_slices=1).collect()
     assert sorted((r["indicatorId"], r["timePoint"][:4], len(r["outputs"])) for r in rows) == [
         ("sum-reef-area", "2020", 2), ("sum-reef-area", "2021", 2),
     ]
-    sliced = products.product_payloads(outputs(spark), "r", max_outputs=1)
+    sliced = products.product_payloads(outputs(spark), "r", n_slices=3)
     assert sliced.select(F.sum(F.size("outputs"))).first()[0] == 4
 
 

@@ -60,7 +60,13 @@ def test_runs_and_block_borders(spark):
     found = sorted((r["iy"], r["ix_first"], r["ix_last"], r["minx"], r["maxx"]) for r in whole.collect())
     assert found == [(0, 0, 2, 0, 30), (0, 4, 5, 40, 60), (0, 9, 9, 90, 100), (1, 1, 1, 10, 20)]
     cut = raster.polygonize_runs(pixels(spark, rows), 1.0, 10.0, ["t"], block=2)
-    assert cut.agg(F.sum(F.col("maxx") - F.col("minx"))).first()[0] == 70
+    assert sorted((r["iy"], r["ix_first"], r["ix_last"], r["minx"], r["maxx"]) for r in cut.collect()) == found
+
+
+def test_a_long_run_is_one_rectangle(spark):
+    long = spark.range(140_000).selectExpr("id AS ix", "0L AS iy", "1 AS t", "1.0D AS value")
+    row = raster.polygonize_runs(long, 1.0, 10.0, ["t"]).collect()
+    assert [(r["ix_first"], r["ix_last"]) for r in row] == [(0, 139_999)]
 
 
 def test_width_guard(spark):

@@ -23,12 +23,17 @@ def require_none(df: DataFrame, offenders: DataFrame, message: str, limit: int =
     """``df``, or a failed job when ``offenders`` (one text column) has rows.
 
     The check is a branch of its own that gives no rows, so it runs with ``df`` and
-    also when ``df`` is empty. ``limit`` bounds the names in the message only.
+    also when ``df`` is empty. ``limit`` bounds the names in the message, which says
+    how many more there are.
     """
-    name = F.col(offenders.columns[0]).cast("string")
-    found = offenders.select(name.alias("name")).distinct().orderBy("name").limit(limit)
+    name = F.coalesce(F.col(offenders.columns[0]).cast("string"), F.lit("null"))
+    every = offenders.select(name.alias("name")).distinct()
+    found = every.orderBy("name").limit(limit)
+    total = every.agg(F.count("*").alias("n")).scalar()
+    more = F.when(total > limit, F.concat(F.lit(" and "), total - limit, F.lit(" more"))).otherwise("")
     # an aggregate without groups always gives one row; '' means nothing was found
-    listed = found.agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
+    names = F.array_join(F.sort_array(F.collect_list("name")), ", ")
+    listed = found.agg(names.alias("names")).withColumn("names", F.concat("names", more))
     failed = listed.filter(
         F.when(F.col("names") == "", F.lit(False)).otherwise(
             F.raise_error(F.concat(F.lit(f"{message}: "), F.col("names"))).cast("boolean")

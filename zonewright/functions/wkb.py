@@ -46,7 +46,7 @@ def _polygons(blob: bytes) -> list[list[np.ndarray]] | None:
     if kind == POLYGON:
         return [polygon(order, width, at)[0]]
     if kind != MULTIPOLYGON:
-        return None
+        raise ValueError(f"geometry of kind {kind}; only polygons and multipolygons are zones")
     (n_parts,) = struct.unpack_from(order + "I", blob, at)
     at += 4
     parts = []

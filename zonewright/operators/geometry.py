@@ -15,8 +15,8 @@ BOUNDS = ("minx", "miny", "maxx", "maxy")
 MAX_PIECE_KM2 = 500_000
 TILE_SIDE_M = 500_000
 
-# A clipped piece of less area (square degrees) is a bridge left by the clip, not a piece.
-_SLIVER_DEG2 = 1e-12
+# A clipped piece below this share of the shape's own area is a bridge left by the clip.
+_BRIDGE = 1e-12
 
 
 def projected(geometry: str) -> str:
@@ -92,7 +92,7 @@ def clip_to_boxes(
     packed = boxes.select(*keys, *extra, F.struct(*BOUNDS).alias("_b"))
     joined = df.drop(*BOUNDS, *extra).join(packed, keys)
     cut = g.clip(f"`{geometry}`", *(f"_b.{c}" for c in BOUNDS))
-    sliver = f"(_b.maxx - _b.minx) * (_b.maxy - _b.miny) * {_SLIVER_DEG2}D"
+    sliver = f"{g.area(f'`{geometry}`')} * {_BRIDGE}D"
     kept = _keep_pieces(joined, geometry, cut, sliver)
     return kept.select("*", *(F.col(f"_b.{c}").alias(c) for c in BOUNDS)).drop("_b")
 
@@ -151,7 +151,7 @@ def tile_zones(
         tiled.withColumn("tile", F.expr("if(_large, _i * (_t.ny + 1) + _j, 0)")),
         geometry,
         f"if(_large, {cut}, {shape})",
-        f"if(_large, {_SLIVER_DEG2}D, -1D)",
+        f"if(_large, {g.area(shape)} * {_BRIDGE}D, -1D)",
     )
     return kept.select(*others, "tile", geometry)
 
@@ -191,15 +191,17 @@ def split_antimeridian(df: DataFrame, geometry: str = "geometry") -> DataFrame:
         cut = g.clip("whole", f"{low}D", "-90D", f"{low + 360}D", "90D")
         return g.record(side=str(side), shape=g.map_vertices(cut, f"v.x - {360 * side}D", "v.y"))
 
+    large = (
+        f"if(size(h.shape) > 0, {g.area('h.shape')} > {g.area('whole')} * {_BRIDGE}D, false)"
+    )
     halves = g.bind(
         unwrapped,
         "whole",
-        f"if(array_max({g.xs('whole')}) > 180, array({half(0)}, {half(1)}),"
+        f"if(array_max({g.xs('whole')}) > 180, filter(array({half(0)}, {half(1)}), h -> {large}),"
         f" array({g.record(side='0', shape='whole')}))",
     )
-    large = f"if(size(h.shape) > 0, {g.area('h.shape')} > {_SLIVER_DEG2}D, false)"
     others = [c for c in df.columns if c not in (geometry, "side")]
-    kept = F.expr(f"filter({halves}, h -> {large})")
+    kept = F.expr(f"filter({halves}, h -> size(h.shape) > 0)")
     return unnest(df, kept, "_h", others).select(
         *others, F.col("_h.side").alias("side"), F.col("_h.shape").alias(geometry)
     )

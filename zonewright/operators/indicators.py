@@ -193,7 +193,10 @@ def sum_area_vector_clipped(
     cell: float = RASTER_CELL_M,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Area of rectangles (metres) inside each zone by true intersection."""
+    """Area of rectangles (metres) inside each zone by true intersection.
+
+    Zones that no rectangle's bounds meet have no row; ``fill_zones`` gives them 0.
+    """
     pairs = candidate_pairs(
         rectangles.drop(*BOUNDS), pieces_m.select(*PIECE, "geometry"), rectangle_key, cell=cell,
         broadcast_bytes=broadcast_bytes,
@@ -203,7 +206,6 @@ def sum_area_vector_clipped(
         pairs.select("zone_id", *(by or []), inside.alias("_a"))
         .groupBy("zone_id", *(by or []))
         .agg(F.sum("_a").alias("area_m2"))
-        .filter(F.col("area_m2") > 0)
     )
 
 
@@ -260,20 +262,22 @@ def zonal_mean(
     cell: float = RASTER_CELL_M,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Mean pixel value per zone."""
+    """Mean pixel value per zone; without ``by``, a zone without a pixel has a null mean."""
     by = by or []
     sums = zonal_aggregate(
         pixels.filter(F.col("value").isNotNull()), pieces_m, ["zone_id"], by, pixel_key, "value",
         cell, broadcast_bytes,
     )
-    return sums.select("zone_id", *by, (F.col("total") / F.col("n")).alias("mean_value"))
+    means = sums.select("zone_id", *by, (F.col("total") / F.col("n")).alias("mean_value"))
+    return means if by else pieces_m.select("zone_id").distinct().join(means, "zone_id", "left")
 
 
 def raster_vs_vector(raster: DataFrame, vector: DataFrame, on: list[str]) -> DataFrame:
-    """Difference of the two area methods per zone."""
+    """Difference of the two area methods per zone; what one method lacks is 0."""
     left = raster.withColumnRenamed("area_m2", "raster_m2")
     right = vector.withColumnRenamed("area_m2", "vector_m2")
-    return left.join(right, on).withColumn("diff_m2", F.col("raster_m2") - F.col("vector_m2"))
+    both = left.join(right, on, "full").fillna(0.0, ["raster_m2", "vector_m2"])
+    return both.withColumn("diff_m2", F.col("raster_m2") - F.col("vector_m2"))
 
 
 def compute_indicators(
@@ -294,9 +298,12 @@ def compute_indicators(
     ``spec`` rows are (key, name, value); ``pixels`` has ``asset, yr, x, y, value``.
     The pixels are counted once per piece, year, asset and value; the spec then
     joins those counts, so more indicators cost no further pass. The spec has
-    at most one row per known key, which bounds its broadcast and the maps.
+    at most one row per known key (a key given twice fails the job), which bounds its
+    broadcast and the maps. Without pixels or points, what they would give is 0.
     """
-    checked, _ = validate_indicators(spec.dropDuplicates(["key"]), datetime_match=str(years[0]))
+    twice = spec.groupBy("key").count().filter("count > 1").select("key")
+    spec = require_none(spec, twice, "indicators given twice")
+    checked, _ = validate_indicators(spec, datetime_match=str(years[0]))
     kinds = F.broadcast(parse_value_lists(classify_indicators(checked)).drop("value"))
     pieces = stored(zone_pieces(zones.select("zone_id", "geometry")))
     pieces_m = project_zones(pieces)
@@ -333,6 +340,10 @@ def compute_indicators(
             .select("zone_id", "year", "key", "measure")
         )
         measured = counted if measured is None else measured.unionByName(counted)
+    if measured is None:
+        measured = base.filter("false").select(
+            "zone_id", "year", "key", F.lit(0.0).alias("measure")
+        )
     rows = base.filter(F.col("kind").isin("sum-area", "count", "percent-area"))
     # a percentage reads the sum of the same name, if the run asks for that sum
     source = F.when(

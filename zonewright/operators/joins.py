@@ -26,13 +26,19 @@ def cell_of(coordinate: Column, size: float) -> Column:
     return F.floor(coordinate / F.lit(float(size))).cast("int")
 
 
-def stored_bytes(rows: DataFrame, edges: str | None = None) -> int:
-    """Size of stored polygon rows, from their number and their edge lists."""
+def stored_bytes(
+    rows: DataFrame, edges: str | None = None, attributes: list[str] | None = None
+) -> int:
+    """Size of stored polygon rows, from their number, edge lists and attributes as text."""
     measures = [F.count("*").alias("n")]
+    if attributes:
+        text = F.octet_length(F.to_json(F.struct(*attributes)))
+        measures.append(F.sum(text).alias("attributes"))
     if edges is not None:
         measures.append(F.sum(F.coalesce(F.size(edges), F.lit(0))).alias("edges"))
     found = rows.agg(*measures).first()
-    return found["n"] * _ROW_BYTES + (found["edges"] or 0 if edges is not None else 0) * _EDGE_BYTES
+    listed = (found["edges"] or 0 if edges is not None else 0) * _EDGE_BYTES
+    return found["n"] * _ROW_BYTES + listed + (found["attributes"] or 0 if attributes else 0)
 
 
 def cover_cells(
@@ -162,24 +168,27 @@ def candidate_pairs(
 ) -> DataFrame:
     """Each (feature, zone) pair with meeting bounds, exactly once.
 
-    Both sides are exploded to the cells of their bounds, the zones without
-    their geometry. A pair is kept only in the cell holding the lower left
-    corner of the common box, so no distinct is needed. The zone's geometry is
-    then attached by the zone's other columns, which must be its key; it is
-    never copied per cell. Keeps ``_f`` (bounds), ``_f_geometry``,
-    ``_z_geometry`` and ``_z_edges``.
+    Both sides are exploded to the cells of their bounds, the zones with nothing
+    but a row number, given once in the stored table. A pair is kept only in the
+    cell holding the lower left corner of the common box, so no distinct is needed.
+    The zone's geometry and attributes are then attached by that number, so they may
+    be null or alike and are never copied per cell. Keeps ``_f`` (bounds),
+    ``_f_geometry``, ``_z_geometry`` and ``_z_edges``.
     """
     keys = [c for c in zones.columns if c != geometry]
     shapes = stored(
         zones.select(
+            F.monotonically_increasing_id().alias("_zone"),
             *keys,
             F.col(geometry).alias("_z_geometry"),
             F.expr(g.edges(f"`{geometry}`")).alias("_z_edges"),
         )
     )
-    shapes_small = 2 * stored_bytes(shapes, "_z_edges") <= broadcast_bytes
+    shapes_small = 2 * stored_bytes(shapes, "_z_edges", keys) <= broadcast_bytes
     right = stored(
-        _bbox_cells(shapes.drop("_z_edges"), cell, "_z_geometry", "_z").drop("_z_geometry")
+        _bbox_cells(shapes.select("_zone", "_z_geometry"), cell, "_z_geometry", "_z").drop(
+            "_z_geometry"
+        )
     )
     left = _bbox_cells(features.withColumnRenamed(geometry, "_f_geometry"), cell, "_f_geometry", "_f")
     meets = (
@@ -193,7 +202,7 @@ def candidate_pairs(
     )
     pairs = join_on_cells(left, right, feature_key, stored_bytes(right) <= broadcast_bytes)
     found = pairs.filter(meets & home).drop("cx", "cy", "_z")
-    return join_on_cells(found, shapes, feature_key, shapes_small, tuple(keys))
+    return join_on_cells(found, shapes, feature_key, shapes_small, ("_zone",)).drop("_zone")
 
 
 def spatial_join_polygons(

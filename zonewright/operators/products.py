@@ -165,32 +165,25 @@ def run_summary(outputs: DataFrame) -> DataFrame:
     )
 
 
-def outputs_by_indicator(outputs: DataFrame, max_outputs: int = 100_000) -> DataFrame:
+def outputs_by_indicator(outputs: DataFrame, n_slices: int = 16) -> DataFrame:
     """(indicator, timePoint, slice, outputs): the (zone, value) list of each group.
 
-    A group of more than ``max_outputs`` zones is spread over several slices by a
-    hash of the zone, so no list grows with the number of zones.
+    Every group is spread over ``n_slices`` slices by a hash of the zone, whatever its
+    size; slices without a zone have no row. Choose more for more zones.
     """
     flat = outputs.select(
         "timePoint", "geometryOutputId", F.explode("indicators").alias("indicator", "value")
     )
-    sizes = flat.groupBy(
-        F.col("indicator").alias("_indicator"), F.col("timePoint").alias("_time")
-    ).agg(F.ceil(F.count("*") / max_outputs).alias("_slices"))
-    # null-safe keys: a plain equality lets Catalyst push "timePoint is not null" and
-    # with it the parsing of the text below the aggregates the outputs come from
-    same = F.col("indicator").eqNullSafe(F.col("_indicator")) & F.col("timePoint").eqNullSafe(F.col("_time"))
     return (
-        flat.join(sizes, same)
-        .withColumn("slice", F.pmod(F.xxhash64("geometryOutputId"), F.col("_slices")))
+        flat.withColumn("slice", F.pmod(F.xxhash64("geometryOutputId"), F.lit(n_slices)))
         .groupBy("indicator", "timePoint", "slice")
         .agg(F.sort_array(F.collect_list(F.struct("geometryOutputId", "value"))).alias("outputs"))
     )
 
 
-def product_payloads(outputs: DataFrame, run_id: str, max_outputs: int = 100_000) -> DataFrame:
-    """One payload per (indicator, time), and per slice of a very large group."""
-    return outputs_by_indicator(outputs, max_outputs).select(
+def product_payloads(outputs: DataFrame, run_id: str, n_slices: int = 16) -> DataFrame:
+    """One payload per (indicator, time, slice)."""
+    return outputs_by_indicator(outputs, n_slices).select(
         F.lit(run_id).alias("productRunId"),
         "timePoint",
         F.col("indicator").alias("indicatorId"),

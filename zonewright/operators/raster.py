@@ -36,7 +36,7 @@ def pixels_to_chunks(
     """Pixel rows (one per cell; see ``mosaic``) -> chunks of a world grid.
 
     A group is one chunk, so it holds at most ``size * size`` cells. Cells
-    without a pixel are null.
+    without a pixel are null. A cell that comes twice fails the job.
     """
     cx, cy = F.floor(F.col("ix") / size), F.floor(F.col("iy") / size)
     position = (F.col("iy") - cy * size) * size + (F.col("ix") - cx * size)
@@ -60,6 +60,7 @@ def pixels_to_chunks(
         f"concat(array(c._value), {nulls % 'n - c._pos - 1'}))"
     )
     dense = f"concat({nulls % 'get(_cells, 0)._pos'}, flatten({filled}))"
+    once = F.expr("size(array_distinct(transform(_cells, c -> c._pos))) = size(_cells)")
     return grouped.select(
         *keys,
         "chunk_x",
@@ -69,7 +70,7 @@ def pixels_to_chunks(
         F.lit(float(res)).alias("res"),
         F.lit(size).alias("width"),
         F.lit(size).alias("height"),
-        F.expr(dense).alias("values"),
+        require(F.expr(dense), once, "a cell of a chunk has two pixels").alias("values"),
     )
 
 
@@ -195,9 +196,9 @@ def polygonize_runs(
     """Cells of one value -> one rectangle per horizontal run.
 
     Gaps and islands on (``by``, row, column block). A block of ``block`` columns
-    bounds the window group; a run that crosses a block border gives two
-    rectangles that touch, with the same union. Input has one row per cell;
-    ``origin`` is the lower left corner of cell (0, 0).
+    bounds the window group. Runs that touch a block border, at most two per block, are
+    stitched by a second pass over them alone. Input has one row per cell; ``origin``
+    is the lower left corner of cell (0, 0).
     """
     row = Window.partitionBy(*by, "iy", "_block").orderBy("ix")
     runs = (
@@ -208,7 +209,18 @@ def polygonize_runs(
         .agg(F.min("ix").alias("ix_first"), F.max("ix").alias("ix_last"))
         .drop("_block", "_island")
     )
-    bounds = runs.withColumns(
+    border = (F.pmod("ix_first", F.lit(block)) == 0) | (F.pmod(F.col("ix_last") + 1, F.lit(block)) == 0)
+    along = Window.partitionBy(*by, "iy").orderBy("ix_first")
+    begins = F.coalesce(F.lag("ix_last").over(along) + 1 < F.col("ix_first"), F.lit(True))
+    stitched = (
+        runs.filter(border)
+        .withColumn("_begins", begins.cast("int"))
+        .withColumn("_run", F.sum("_begins").over(along))
+        .groupBy(*by, "iy", "_run")
+        .agg(F.min("ix_first").alias("ix_first"), F.max("ix_last").alias("ix_last"))
+        .drop("_run")
+    )
+    bounds = runs.filter(~border).unionByName(stitched).withColumns(
         {
             "minx": F.col("ix_first") * float(res) + origin[0],
             "miny": F.col("iy") * float(res) + origin[1],

@@ -276,11 +276,13 @@ CLIPPED_SQL = f"""{RUNS_SQL}, boxes AS (SELECT yr, iy, ix_first, (ix_first-100)*
 @query(
     "sum_area_vector_clipped",
     tables_sql("mosaic", "zone_edges")
-    + f""", {CLIPPED_SQL} SELECT zone_id, yr, ROUND(a/1e6,3) AS area_km2 FROM clipped WHERE a>1e3""",
+    + f""", {ZONE_YEARS_SQL}, {CLIPPED_SQL} SELECT w.zone_id, w.yr, ABS(ROUND(COALESCE(c.a,0e0)/1e6,3)) AS area_km2
+    FROM zone_years w LEFT JOIN clipped c ON c.zone_id=w.zone_id AND c.yr=w.yr""",
 )
 def sum_area_vector_clipped(spark, sf_dir):
-    areas = clipped_areas(spark, sf_dir).filter(F.col("area_m2") > 1e3)
-    return areas.select("zone_id", "yr", F.round(F.col("area_m2") / 1e6, 3).alias("area_km2"))
+    work = joins.work_list(inputs.zones(spark, sf_dir), YEARS).withColumnRenamed("year", "yr")
+    areas = indicators.fill_zones(work, clipped_areas(spark, sf_dir), ["zone_id", "yr"], "area_m2")
+    return areas.select("zone_id", "yr", F.abs(F.round(F.col("area_m2") / 1e6, 3)).alias("area_km2"))
 
 
 @query(
@@ -357,8 +359,8 @@ def compute_indicators(spark, sf_dir):
 @query(
     "zonal_mean",
     tables_sql("pixel_hits")
-    + """SELECT h.zone_id, ROUND(AVG(value),6) AS mean_value, ROUND(AVG(value)*MAX(s_nationkey),6) AS weighted
-    FROM pixel_hits h JOIN supplier ON s_suppkey=h.zone_id GROUP BY 1""",
+    + """SELECT s_suppkey AS zone_id, ROUND(AVG(value),6) AS mean_value, ROUND(AVG(value)*MAX(s_nationkey),6) AS weighted
+    FROM supplier LEFT JOIN pixel_hits h ON s_suppkey=h.zone_id GROUP BY 1""",
 )
 def zonal_mean(spark, sf_dir):
     # a zone attribute times the mean gives the covered share of that attribute
@@ -373,17 +375,23 @@ def zonal_mean(spark, sf_dir):
 @query(
     "raster_vs_vector",
     tables_sql("pixel_hits", "zone_edges")
-    + f""", {CLIPPED_SQL}, sums AS (SELECT zone_id, yr, COUNT(*)*2.5e9 AS a FROM pixel_hits WHERE value=1 GROUP BY 1,2)
-    SELECT s.zone_id, s.yr, ROUND(s.a/1e6,3) AS raster_km2, ROUND(c.a/1e6,3) AS vector_km2, ROUND((s.a-c.a)/1e6,3)+0e0 AS diff_km2
-    FROM sums s JOIN clipped c ON c.zone_id=s.zone_id AND c.yr=s.yr AND c.a>1e3""",
+    + f""", {ZONE_YEARS_SQL}, {CLIPPED_SQL}, sums AS (SELECT zone_id, yr, COUNT(*)*2.5e9 AS a FROM pixel_hits WHERE value=1 GROUP BY 1,2)
+    SELECT w.zone_id, w.yr, ROUND(COALESCE(s.a,0e0)/1e6,3) AS raster_km2, ABS(ROUND(COALESCE(c.a,0e0)/1e6,3)) AS vector_km2,
+     ROUND((COALESCE(s.a,0e0)-COALESCE(c.a,0e0))/1e6,3)+0e0 AS diff_km2
+    FROM zone_years w LEFT JOIN sums s ON s.zone_id=w.zone_id AND s.yr=w.yr
+    LEFT JOIN clipped c ON c.zone_id=w.zone_id AND c.yr=w.yr""",
 )
 def raster_vs_vector(spark, sf_dir):
     raster = indicators.sum_area_raster(
         cells(spark, sf_dir), pieces_m(spark, sf_dir), CELL_M2, ["pixel_id"], [1.0], ["yr"]
     )
-    vector = clipped_areas(spark, sf_dir).filter(F.col("area_m2") > 1e3)
-    both = indicators.raster_vs_vector(raster, vector, ["zone_id", "yr"])
-    names = {"raster_km2": "raster_m2", "vector_km2": "vector_m2", "diff_km2": "diff_m2"}
-    return both.select(
-        "zone_id", "yr", *(F.round(F.col(c) / 1e6, 3).alias(n) for n, c in names.items())
+    both = indicators.raster_vs_vector(raster, clipped_areas(spark, sf_dir), ["zone_id", "yr"])
+    work = joins.work_list(inputs.zones(spark, sf_dir), YEARS).withColumnRenamed("year", "yr")
+    filled = work.join(both, ["zone_id", "yr"], "left").fillna(0.0, ["raster_m2", "vector_m2", "diff_m2"])
+    return filled.select(
+        "zone_id",
+        "yr",
+        F.round(F.col("raster_m2") / 1e6, 3).alias("raster_km2"),
+        F.abs(F.round(F.col("vector_m2") / 1e6, 3)).alias("vector_km2"),
+        (F.round(F.col("diff_m2") / 1e6, 3) + 0e0).alias("diff_km2"),
     )

@@ -132,7 +132,7 @@ def run_summary(spark, sf_dir):
     MIN("geometryOutputId") AS first_zone FROM out GROUP BY 1,2""",
 )
 def outputs_by_indicator(spark, sf_dir):
-    groups = products.outputs_by_indicator(outputs(spark, sf_dir), max_outputs=20)
+    groups = products.outputs_by_indicator(outputs(spark, sf_dir), n_slices=5)
     values = F.transform("outputs", lambda o: o["value"].cast("decimal(28,2)"))
     sliced = groups.select(
         "indicator", "timePoint", F.size("outputs").alias("n"),

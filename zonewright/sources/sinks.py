@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from zonewright.functions.checks import require_each
 from zonewright.operators.geometry import with_bounds, with_centroid
 
 
@@ -23,17 +24,17 @@ def write_table(df: DataFrame, url: str, overwrite: bool = False) -> None:
 def grid_cell(df: DataFrame, x: str = "cx", y: str = "cy", chunks: int = 10) -> DataFrame:
     """Adds ``partition``: cell of a world grid of 2*chunks by chunks cells.
 
-    Bins are closed on the right and the lowest edge belongs to the first bin.
+    Bins are closed on the right and the lowest edge belongs to the first bin. A point
+    without coordinates, or outside the world, has no cell (null).
     """
     step = 180.0 / chunks
 
     def bin_of(value: Column, origin: float) -> Column:
         return F.greatest(F.ceil((value - origin) / step) - 1, F.lit(0)).cast("int")
 
-    return df.withColumn(
-        "partition",
-        F.concat_ws("_", bin_of(F.col(x), -180.0), bin_of(F.col(y), -90.0)),
-    )
+    inside = F.col(x).between(-180.0, 180.0) & F.col(y).between(-90.0, 90.0)
+    cell = F.concat_ws("_", bin_of(F.col(x), -180.0), bin_of(F.col(y), -90.0))
+    return df.withColumn("partition", F.when(inside, cell))
 
 
 def write_partitioned(df: DataFrame, url: str, overwrite: bool = False, chunks: int = 10) -> None:
@@ -41,9 +42,14 @@ def write_partitioned(df: DataFrame, url: str, overwrite: bool = False, chunks:
 
     With ``overwrite`` all old cells go first; else only cells that are not there
     yet are written. Rows are rebalanced by cell: small cells share a task, and a
-    cell far above the advisory partition size is split over several.
+    cell far above the advisory partition size is split over several. A geometry
+    without a centroid in the world fails the job.
     """
-    celled = grid_cell(with_centroid(df), chunks=chunks).drop("cx", "cy")
+    celled = require_each(
+        grid_cell(with_centroid(df), chunks=chunks).drop("cx", "cy"),
+        F.col("partition").isNotNull(),
+        "a geometry has no centroid in the world",
+    )
     spark = df.sparkSession
     mode = "overwrite"
     if not overwrite and path_exists(spark, url):
@@ -53,10 +59,38 @@ def write_partitioned(df: DataFrame, url: str, overwrite: bool = False, chunks:
     celled.hint("rebalance", "partition").write.mode(mode).partitionBy("partition").parquet(url)
 
 
-def write_product_json(outputs: DataFrame, root: str, indicator: str) -> None:
-    """One JSON document (line) per zone and time below ``indicator/<time>/``."""
-    timed = outputs.withColumn("time", F.substring("timePoint", 1, 10))
-    timed.write.mode("overwrite").partitionBy("time").json(f"{root.rstrip('/')}/{indicator}")
+#: What tells documents apart; all three are null-safe.
+DOCUMENT_KEY = ("productId", "geometryOutputId", "timePoint")
+
+
+def write_product_json(
+    outputs: DataFrame, root: str, indicator: str, overwrite: bool = False
+) -> None:
+    """One JSON document (line) per zone and time below ``indicator/time=.../``.
+
+    Documents of earlier runs stay. One that is stored already is left as it is, or
+    with ``overwrite`` replaced; then only the folders of the given times are written anew.
+    """
+    spark = outputs.sparkSession
+    url = f"{root.rstrip('/')}/{indicator}"
+    timed = outputs.withColumn("time", F.col("timePoint"))
+    mode = "append"
+    if path_exists(spark, url):
+        kept = spark.read.schema(timed.schema).json(url)
+
+        def without(left: DataFrame, right: DataFrame) -> DataFrame:
+            keys = right.select(*(F.col(c).alias(f"_{c}") for c in DOCUMENT_KEY))
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in DOCUMENT_KEY]
+            return left.join(keys, same, "left_anti")
+
+        if overwrite:
+            times = timed.select(F.col("time").alias("_time")).distinct()
+            touched = kept.join(times, F.col("time").eqNullSafe(F.col("_time")), "left_semi")
+            timed = timed.unionByName(without(touched, timed))
+            mode = "overwrite"
+        else:
+            timed = without(timed, kept)
+    timed.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("time").json(url)
 
 
 def write_region(
