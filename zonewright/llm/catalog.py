@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline  # noqa: F401
 from zonewright.llm import (  # noqa: F401
     bpe_queries,
+    collocation_queries,
     decontamination_queries,
     jaccard_queries,
     nbsvm_queries,
