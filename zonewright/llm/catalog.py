@@ -10,6 +10,7 @@ from zonewright.llm import (  # noqa: F401
     jaccard_queries,
     nbsvm_queries,
     preference_queries,
+    prefix_trie_queries,
     quality_queries,
     suffix_queries,
     token_queries,
