@@ -7,6 +7,7 @@ from zonewright.llm import (  # noqa: F401
     bpe_queries,
     collocation_queries,
     decontamination_queries,
+    html_queries,
     jaccard_queries,
     nbsvm_queries,
     preference_queries,
