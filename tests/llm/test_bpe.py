@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from zonewright.llm import bpe
+from zonewright.llm import bpe, pieces
+from zonewright.llm import token_frames as tf
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -36,7 +37,7 @@ def test_pieces_and_streams_equal_the_library(library):
     assert 0 < table.reach < 1000
     for text in texts():
         want = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want
+        assert encoder.encode_column(pa.array([text]))[0].tolist() == want
         stream, got, at = bpe.StreamEncoder(table), [], 0
         while at < len(text):
             step = rng.choice([1, 3, 50, 900])
@@ -49,6 +50,18 @@ def test_pieces_and_streams_equal_the_library(library):
         assert out + decoder.finish() == text == library.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("window,longest,limit", [(1 << 20, 256, 32 << 20), (97, 12, 900)])
+def test_columns_in_parts_equal_the_library(library, monkeypatch, window, longest, limit):
+    monkeypatch.setattr(pieces, "WINDOW", window)
+    monkeypatch.setattr(pieces, "LONGEST", longest)
+    rows = [*texts(), None, "", "a\u00a0 b", "x\u3000 y", "one two\nthree\n\nfour ", " \n lead", "a \x85b"]
+    for encoder in (bpe.piece_encoder(PATH), tf.library_encoder(PATH)):
+        encoder.limit = limit
+        ids, offsets = encoder.encode_column(pa.array(rows))
+        for text, begin, end in zip(rows, offsets, offsets[1:]):
+            assert ids[begin:end].tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
 def test_transducer_holds_a_window_only():
     table = bpe.merge_table(PATH)
     machine, got = bpe.Transducer(table), []

@@ -17,6 +17,7 @@ from __future__ import annotations
 import codecs
 import json
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -293,9 +294,8 @@ def merge_table(path: str) -> MergeTable:
 SHORT = 64
 
 
-@lru_cache(maxsize=1)
 def piece_encoder(path: str) -> PieceEncoder:
-    """The transducer's tokens by piece; one per Python worker."""
+    """The transducer's tokens by piece; what it remembers ends with the task that made it."""
     table = merge_table(path)
     transducer = Transducer(table)
     special = {text: struct.pack("<I", i) for text, i in table.special.items()}
@@ -322,7 +322,15 @@ def piece_encoder(path: str) -> PieceEncoder:
             known[token] = struct.pack(f"<{len(ids)}I", *ids)
         return [b"".join([known[token] for token in tokens]) for tokens in lists]
 
-    return PieceEncoder(tokens)
+    def stream(piece: str) -> bytes:
+        """A piece of any length, in parts."""
+        encoder, out = StreamEncoder(table), array("I")
+        for start in range(0, len(piece), 4096):
+            out.extend(encoder.feed(piece[start : start + 4096]))
+        out.extend(encoder.finish())
+        return out.tobytes()
+
+    return PieceEncoder(tokens, stream)
 
 
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -344,14 +352,14 @@ def encode_texts(
     """``df`` with the token ids of each whole text; ``vocabulary`` is a path on every node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = piece_encoder(vocabulary).encode
+        encoder = piece_encoder(vocabulary)
         for batch in batches:
             for part in slices(batch, text_col):
-                found = encode([x or "" for x in part.column(text_col).to_pylist()])
-                offsets = np.zeros(len(found) + 1, dtype=np.int32)
-                np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
-                ids = pa.array(np.frombuffer(b"".join(found), dtype="<i4"))
-                yield _with_column(part, ids_col, pa.ListArray.from_arrays(pa.array(offsets), ids))
+                ids, offsets = encoder.encode_column(part.column(text_col))
+                listed = pa.ListArray.from_arrays(
+                    pa.array(offsets.astype(np.int32)), pa.array(ids.view("<i4"))
+                )
+                yield _with_column(part, ids_col, listed)
 
     return df.mapInArrow(run, _schema(df, ids_col, T.ArrayType(T.IntegerType())))
 

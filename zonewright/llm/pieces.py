@@ -1,87 +1,165 @@
 """Cuts of a text that no byte-level pre-tokenizer rule reaches across.
 
-A single space between two characters that are not white space always starts a new
-pre-token, so the text on both sides can be tokenized alone and the results memoised.
+A single space or line feed between two characters that are not white space always starts a new
+pre-token, and such a line feed is one of its own. So does a mark of ``_MARKS`` after an ASCII
+letter, as letters and other characters never share a pre-token (no special token of the
+vocabularies in use holds such a mark). So the pieces between the cuts can be tokenized alone,
+equal pieces once, and a text of any length in parts.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-_STOPS = (".", ",")
-_CUT = re.compile(r" (?<=\S )(?=\S)")
+import numpy as np
+import pyarrow as pa
 
+from zonewright.llm.textkernel import text_buffer, word_hashes
 
-def pieces(text: str) -> list[list[str]]:
-    """Lines of parts of ``text``: parts joined by single spaces, lines by single line feeds.
+#: ASCII characters that some pre-tokenizer counts as white space.
+_SPACES = np.zeros(256, bool)
+_SPACES[[*range(9, 14), *range(28, 33)]] = True
+# White space beyond ASCII, as UTF-8.
+_WIDE = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_WIDE_LEADS = sorted({w[:2] for w in _WIDE})
 
-    Every part of a line after its first is to be tokenized with one space before it, and each
-    line feed alone.
-    """
-    lines = [line.split(" ") for line in text.split("\n")]
-    # every white space is a single space or line feed inside the text
-    if len(text.split()) == sum(map(len, lines)):
-        return lines
-    return [_CUT.split(text)]
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+_MARKS = np.zeros(256, bool)
+_MARKS[[ord(c) for c in ".,;:!?%*#$&()\"/"]] = True
+
+#: Bytes that are cut at a time, and the longest piece that is looked up by its hash.
+WINDOW, LONGEST = 1 << 20, 256
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces start in the texts between ``offsets``."""
+    space = _SPACES[data]
+    pair = data[:-1].astype(np.uint16) << 8 | data[1:]
+    for lead in _WIDE_LEADS:
+        for at in np.flatnonzero(pair == (lead[0] << 8 | lead[1])).tolist():
+            for wide in _WIDE:
+                if wide[:2] == lead and data[at : at + len(wide)].tobytes() == wide:
+                    space[at : at + len(wide)] = True
+    cut = (data == 32) | (data == 10)
+    cut[1:] &= ~space[:-1]
+    cut[:-1] &= ~space[1:]
+    full = offsets[:-1] < offsets[1:]
+    cut[offsets[:-1][full]] = False
+    cut[offsets[1:][full] - 1] = False
+    starts = cut.copy()
+    starts[1:] |= cut[:-1] & (data[:-1] == 10)
+    starts[1:] |= _MARKS[data[1:]] & _LETTERS[data[:-1]]
+    starts[offsets[:-1][full]] = True
+    return np.flatnonzero(starts)
 
 
 class PieceEncoder:
-    """Token ids of whole texts as little-endian 32-bit numbers, piece by piece.
+    """Token ids of whole texts, piece by piece.
 
-    ``compute`` tokenizes many pieces at once. Results are kept by piece up to ``limit`` of them,
-    then forgotten, so that memory stays bounded; long pieces are not kept.
+    ``compute`` tokenizes many pieces at once and gives little-endian 32-bit numbers; ``stream``
+    does one long piece. Results are kept by piece up to about ``limit`` bytes, then forgotten.
     """
 
     def __init__(
         self,
         compute: Callable[[list[str]], list[bytes]],
-        limit: int = 400_000,
-        longest: int = 64,
+        stream: Callable[[str], bytes] | None = None,
+        limit: int = 64 << 20,
     ):
-        self.compute, self.limit, self.longest = compute, limit, longest
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        *stops, self.feed = compute([*_STOPS, "\n"])
-        self.stops = dict(zip(_STOPS, stops))
-
-    def _known(self, held: dict[str, bytes], needed: set[str], before: str) -> list[str]:
-        """Makes sure that all of ``needed`` are held; returns those to forget again.
-
-        A stop or comma after a letter is a pre-token of its own, so pieces that differ only
-        in it are computed once.
-        """
-        missing = list(needed.difference(held))
-        if len(held) + len(missing) > self.limit:
-            held.clear()
-            missing = list(needed)
-        ended = [p for p in missing if p[-1:] in _STOPS and p[-2:-1].isalpha()]
-        stems = {p[:-1] for p in ended}
-        fresh = list(stems.union(missing).difference(ended, held))
-        held.update(zip(fresh, self.compute([before + piece for piece in fresh])))
-        for piece in ended:
-            held[piece] = held[piece[:-1]] + self.stops[piece[-1]]
-        return [piece for piece in (*missing, *stems) if len(piece) > self.longest]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [pieces(text) for text in texts]
-        heads: set[str] = set()
-        needed: set[str] = set()
-        for lines in split:
-            for parts in lines:
-                heads.add(parts[0])
-                needed.update(parts[1:])
-        drop_first = self._known(self.first, heads, "")
-        drop_later = self._known(self.later, needed, " ")
-        first, later = self.first, self.later.__getitem__
-        out = [
-            self.feed.join(
-                [first[parts[0]] + b"".join(map(later, parts[1:])) for parts in lines]
+        self.compute, self.limit = compute, limit
+        self.stream = stream or (lambda piece: compute([piece])[0])
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def _tokens(self, pieces: list[bytes]) -> list[bytes]:
+        found = list(map(self.known.get, pieces))
+        missing = [k for k, tokens in enumerate(found) if tokens is None]
+        if missing:
+            fresh = [pieces[k] for k in missing]
+            size = 3 * sum(map(len, fresh)) + 200 * len(fresh)
+            if self.held + size > self.limit:
+                self.known.clear()
+                self.held = 0
+            made = self.compute([p.decode() for p in fresh])
+            self.known.update(zip(fresh, made))
+            self.held += size
+            for k, tokens in zip(missing, made):
+                found[k] = tokens
+        return found
+
+    def _window(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a window and where each text's ids start."""
+        begin = piece_starts(data, offsets)
+        if not len(begin):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        end = np.append(begin[1:], len(data))
+        long = end - begin > LONGEST
+        which = np.zeros(len(begin), np.int64)
+        short = np.flatnonzero(~long)
+        raw = data.tobytes()
+        tokens: list[bytes] = []
+        if len(short):
+            b, e = begin[short], end[short]
+            _, first, same = np.unique(
+                word_hashes(data, b, e), return_index=True, return_inverse=True
+            )
+            # equal hashes are compared byte by byte; a piece unlike its namesake goes alone
+            other = first[same]
+            unlike = (e - b) != (e - b)[other]
+            size = np.where(unlike, 0, e - b)
+            ahead = np.repeat(np.cumsum(size) - size, size)
+            place = np.arange(len(ahead)) - ahead
+            wrong = data[np.repeat(b, size) + place] != data[np.repeat(b[other], size) + place]
+            if wrong.any():
+                unlike[np.repeat(np.arange(len(b)), size)[wrong]] = True
+            tokens = self._tokens([raw[x:y] for x, y in zip(b[first].tolist(), e[first].tolist())])
+            which[short] = same
+            long[short[unlike]] = True
+        for k in np.flatnonzero(long).tolist():
+            which[k] = len(tokens)
+            tokens.append(self.stream(raw[begin[k] : end[k]].decode()))
+        flat = np.frombuffer(b"".join(tokens), "<u4")
+        size = np.array([len(t) // 4 for t in tokens])
+        starts = np.cumsum(size) - size
+        counts = size[which]
+        after = np.concatenate([[0], np.cumsum(counts)])
+        source = np.arange(after[-1]) + np.repeat(starts[which] - after[:-1], counts)
+        return flat[source], after[np.searchsorted(begin, offsets)]
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column, and the offsets of each text's ids."""
+        data, offsets = text_buffer(column)
+        ids, ends = [], np.zeros(len(offsets), np.int64)
+        total, text, at = 0, 0, 0
+        while text < len(offsets) - 1:
+            if offsets[text + 1] - at > WINDOW:
+                # a long text goes in parts that end where a piece starts
+                span = WINDOW
+                while True:
+                    stop = min(at + span, int(offsets[text + 1]))
+                    part = data[at:stop]
+                    last = int(piece_starts(part, np.array([0, len(part)]))[-1])
+                    if stop == offsets[text + 1] or last:
+                        break
+                    span *= 2
+                if stop < offsets[text + 1]:
+                    part = part[:last]
+                found, _ = self._window(part, np.array([0, len(part)]))
+                ids.append(found)
+                total += len(found)
+                at += len(part)
+                if at < offsets[text + 1]:
+                    continue
+                text += 1
+                ends[text] = total
+                continue
+            until = max(text + 1, int(np.searchsorted(offsets, at + WINDOW, "right")) - 1)
+            found, starts = self._window(
+                data[at : offsets[until]], np.append(at, offsets[text + 1 : until + 1]) - at
             )
-            for lines in split
-        ]
-        for piece in drop_first:
-            self.first.pop(piece, None)
-        for piece in drop_later:
-            self.later.pop(piece, None)
-        return out
+            ids.append(found)
+            ends[text + 1 : until + 1] = total + starts[1:]
+            total += len(found)
+            text, at = until, int(offsets[until])
+        return np.concatenate(ids) if ids else np.zeros(0, "<u4"), ends

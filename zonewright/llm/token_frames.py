@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -48,9 +50,8 @@ class FrameWriter:
         self.codec = zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.held = bytearray()
         self.frames: list[tuple[int, int, int]] = []
-        self.names: list[int] = []
+        self.names, self.counts = array("q"), array("q")
         self.valid = bytearray()
-        self.counts: list[int] = []
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.names.append(0 if doc_id is None else doc_id)
@@ -135,18 +136,47 @@ class FrameReader:
 
 
 @lru_cache(maxsize=1)
-def library_encoder(path: str) -> PieceEncoder:
-    """Ids by the tokenizers library; one per Python worker, one thread."""
+def _tokenizer(path: str):
+    """The library's tokenizer; one per Python worker, one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    return tokenizer
+
+
+def library_encoder(path: str) -> PieceEncoder:
+    """Ids by the tokenizers library; what it remembers ends with the task that made it."""
+    tokenizer = _tokenizer(path)
+
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    (feed,) = tokenizer.encode("\n", add_special_tokens=False).ids
+    plain = re.compile(r" ?\S+").fullmatch
 
     def ids(found: list[str]) -> list[bytes]:
-        encoded = tokenizer.encode_batch_fast(found, add_special_tokens=False)
-        return [struct.pack(f"<{len(e)}I", *e.ids) for e in encoded]
+        """Pieces without inner white space stand one a line: a line feed is a token of its own."""
+        out = [b""] * len(found)
+        lines = [k for k, p in enumerate(found) if plain(p)]
+        if any(s in "\n".join(found) for s in special):
+            lines = [k for k in lines if not any(s in found[k] for s in special)]
+        for start in range(0, len(lines), 4096):
+            chosen = lines[start : start + 4096]
+            (whole,) = tokenizer.encode_batch_fast(
+                ["\n".join([found[k] for k in chosen])], add_special_tokens=False
+            )
+            flat = np.array(whole.ids, dtype="<u4")
+            ends = np.append(np.flatnonzero(flat == feed), len(flat)).tolist()
+            raw, begin = flat.tobytes(), 0
+            for k, end in zip(chosen, ends, strict=True):
+                out[k] = raw[4 * begin : 4 * end]
+                begin = end + 1
+        rest = [k for k, tokens in enumerate(out) if not tokens]
+        encoded = tokenizer.encode_batch_fast([found[k] for k in rest], add_special_tokens=False)
+        for k, e in zip(rest, encoded):
+            out[k] = struct.pack(f"<{len(e)}I", *e.ids)
+        return out
 
     return PieceEncoder(ids)
 
@@ -161,15 +191,16 @@ def _write_files(
         first = next(rows, None)
         if first is None:
             return
-        encode = library_encoder(vocabulary).encode
+        encoder = library_encoder(vocabulary)
         files, path, address, number = task_file(folder, "tokens", ".zst")
         with files.open_output_stream(path, compression=None) as sink:
             writer = FrameWriter(sink)
             for part in itertools.chain([first], rows):
                 names = part.column(id_col).to_pylist()
-                texts = [text or "" for text in part.column(text_col).to_pylist()]
-                for name, found in zip(names, encode(texts)):
-                    writer.add(name, found + end)
+                ids, offsets = encoder.encode_column(part.column(text_col))
+                places = offsets.tolist()
+                for name, begin, stop in zip(names, places, places[1:]):
+                    writer.add(name, ids[begin:stop].tobytes() + end)
             documents, ids = writer.close()
         yield pa.RecordBatch.from_pylist(
             [{"number": number, "path": address, "documents": documents, "ids": ids}],
