@@ -91,6 +91,9 @@ def test_odd_rows(odd, none, library):
     for row in rows:
         assert row.ids == library.encode(row.text or "", add_special_tokens=False).ids
         assert row.decoded == (row.text or "") and row.key == "k"
+    assert bpe.round_trip(odd, PATH).columns == coded.columns
+    assert sorted(map(str, bpe.round_trip(odd, PATH).collect())) == sorted(map(str, rows))
     assert bpe.decode_ids(bpe.encode_texts(none, PATH), PATH).count() == 0
+    assert bpe.round_trip(none, PATH).count() == 0
     skipped = odd.limit(1).select(F.array(F.lit(464), F.lit(None).cast("int")).alias("ids"))
     assert bpe.decode_ids(skipped, PATH).first().decoded == "The"

@@ -364,6 +364,17 @@ def encode_texts(
     return df.mapInArrow(run, _schema(df, ids_col, T.ArrayType(T.IntegerType())))
 
 
+def _texts(table: MergeTable, ids: pa.ListArray, block: int) -> Iterator[str]:
+    """Text of each list of ids, ``block`` ids at a time."""
+    for row in ids:
+        decoder, out = StreamDecoder(table), []
+        known = row.values.drop_null() if row.is_valid else pa.array([], pa.int32())
+        for start in range(0, len(known), block):
+            out.append(decoder.feed(known.slice(start, block).to_numpy().tolist()))
+        out.append(decoder.finish())
+        yield "".join(out)
+
+
 def decode_ids(
     df: DataFrame,
     vocabulary: str,
@@ -378,14 +389,36 @@ def decode_ids(
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                texts = []
-                for row in part.column(ids_col):
-                    decoder, out = StreamDecoder(table), []
-                    ids = row.values.drop_null() if row.is_valid else pa.array([], pa.int32())
-                    for start in range(0, len(ids), block):
-                        out.append(decoder.feed(ids.slice(start, block).to_numpy().tolist()))
-                    out.append(decoder.finish())
-                    texts.append("".join(out))
-                yield _with_column(part, text_col, pa.array(texts, pa.string()))
+                texts = pa.array(_texts(table, part.column(ids_col), block), pa.string())
+                yield _with_column(part, text_col, texts)
 
     return df.mapInArrow(run, _schema(df, text_col, T.StringType()))
+
+
+def round_trip(
+    df: DataFrame,
+    vocabulary: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str = "decoded",
+    block: int = 8192,
+) -> DataFrame:
+    """``df`` with the ids of each whole text and the text that these ids give again.
+
+    Both machines run in one task, so ids are never handed to a second Python worker.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, table = piece_encoder(vocabulary), merge_table(vocabulary)
+        for batch in batches:
+            for part in slices(batch, text_col, 1 << 20):
+                ids, offsets = encoder.encode_column(part.column(text_col))
+                listed = pa.ListArray.from_arrays(
+                    pa.array(offsets.astype(np.int32)), pa.array(ids.view("<i4"))
+                )
+                texts = pa.array(_texts(table, listed, block), pa.string())
+                yield _with_column(_with_column(part, ids_col, listed), decoded_col, texts)
+
+    coded = _schema(df, ids_col, T.ArrayType(T.IntegerType()))
+    kept = [f for f in coded.fields if f.name != decoded_col]
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField(decoded_col, T.StringType())]))
