@@ -16,6 +16,8 @@ ODD = [
     (7, "ünï çödé 日本語 😀 " * 40, "c"),
     (8, "a\nb\n\na\nB  c\r\n", "c"),
 ]
+#: Names that some operator uses for itself.
+INNER = ["_id", "_cut", "_tag", "_bytes", "_runs", "_of", "_tokens", "_labelled", "bad", "tokens", "_hit"]
 
 
 @pytest.fixture
@@ -32,9 +34,10 @@ def odd(spark):
             T.StructField("ids", T.StringType()),
             T.StructField("score", T.StringType()),
             T.StructField("id", T.LongType()),
+            *(T.StructField(name, T.StringType()) for name in INNER),
         ]
     )
-    rows = [(i, t, s, "k", 1, "l", "i", "s", 9) for i, t, s in ODD]
+    rows = [(i, t, s, "k", 1, "l", "i", "s", 9, *INNER) for i, t, s in ODD]
     return spark.createDataFrame(rows, schema)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import inspect
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -72,3 +74,34 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def carries(*used: str) -> Callable:
+    """An operator that carries the other columns of its first table through unread.
+
+    ``used`` names its parameters that hold column names. All other columns travel under names
+    that no operator uses and come back as they were, unless the result has one of the same name.
+    """
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(operator)
+        table = next(iter(signature.parameters))
+
+        @functools.wraps(operator)
+        def run(*args, **kwargs) -> DataFrame:
+            call = signature.bind(*args, **kwargs)
+            call.apply_defaults()
+            df = call.arguments[table]
+            read = {call.arguments[name] for name in used}
+            aside = {f"carried__{c}": c for c in df.columns if c not in read}
+            call.arguments[table] = df.withColumnsRenamed({c: a for a, c in aside.items()})
+            out = operator(*call.args, **call.kwargs)
+            made = set(out.columns)
+            replaced = [a for a, c in aside.items() if c in made]
+            return out.drop(*replaced).withColumnsRenamed(
+                {a: c for a, c in aside.items() if c not in made}
+            )
+
+        return run
+
+    return wrap

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import measured
+from zonewright.llm.common import carries, measured
 
 SPACE = r"[\\x20\\x09-\\x0D]"
 #: Counts of the base rules, in the order of the result.
@@ -122,6 +122,7 @@ def frequent_lines(
     )
 
 
+@carries("id_col", "text_col", "host_col")
 def quality_rules(
     docs: DataFrame,
     id_col: str = "doc_id",

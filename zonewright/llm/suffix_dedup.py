@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonewright.llm.common import materialize, measured, slices
+from zonewright.llm.common import carries, materialize, measured, slices
 from zonewright.llm.textkernel import mix, text_buffer, weights
 
 _U = np.uint64
@@ -434,6 +434,7 @@ def repeated_runs(docs: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     )
 
 
+@carries("id_col", "text_col")
 def remove_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
