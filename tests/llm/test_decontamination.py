@@ -18,7 +18,7 @@ def make_index(items):
     whole = [np.unique(np.concatenate(p)) for p in zip(*sides)]
     terms, counts = np.unique(np.concatenate(whole), return_counts=True)
     mean = np.mean([len(a) + len(b) for a, b in zip(*sides)])
-    return dc.ItemIndex([i[0] for i in items], *sides, terms, counts, len(items), mean)
+    return dc.ItemIndex([i[0] for i in items], *sides, terms, counts, len(items), mean, 64)
 
 
 def test_wand_finds_all_at_or_above_the_threshold():
@@ -76,10 +76,32 @@ def test_shards_give_the_same_hits(spark):
     assert len(many) > 2
     texts = pa.array([r.text for r in frame.orderBy("doc_id").collect()])
     one = next(iter(dc.build_shards(items)))
-    name = lambda index, hits: {(h[0], index.names[h[1]]) for h in hits}
-    whole = name(one, dc.scan_batch(one, texts, 0.6, 0.6))
-    parts = set().union(*(name(s, dc.scan_batch(s, texts, 0.6, 0.6)) for s in many))
-    assert parts == whole and whole
+
+    def found(indexes):
+        sequence = dc.word_sequence(texts)
+        return {
+            (hit[0], index.names[hit[1]])
+            for index in indexes
+            for hit in dc.scan_batch(index, *sequence, 0.6, 0.6)
+        }
+
+    whole = found(one)
+    assert found([index for shard in many for index in shard]) == whole and whole
+    assert len({index.window for index in one}) > 1
+
+
+def test_an_unrelated_long_item_changes_no_hit(spark):
+    rng = random.Random(3)
+    item = [f"i{k}" for k in range(20)]
+    filler = [f"f{k}" for k in range(150)]
+    docs = spark.createDataFrame(
+        [(1, " ".join(item[:10] + filler + item[10:])), (2, " ".join(filler + item))],
+        "doc_id bigint, text string",
+    )
+    long = " ".join(f"z{rng.randrange(900)}" for _ in range(400))
+    for rows in ([(1, " ".join(item))], [(1, " ".join(item)), (2, long)]):
+        split = dc.split_items(spark.createDataFrame(rows, "item_id bigint, text string"))
+        assert {(h.doc_id, h.item_id) for h in dc.contaminated(docs, split).collect()} == {(2, 1)}
 
 
 def test_odd_rows(spark, odd, none):

@@ -1,8 +1,9 @@
 """Benchmark decontamination: BM25 over the test items, block-max WAND, overlap check.
 
 The test items are the indexed documents; every passage of every training text is a query.
-A passage is two neighbouring blocks of words, each as long as the longest item, so each item
-copied into a text lies wholly inside one passage. Scores are divided by the item's score
+Items are indexed by length class, the next power of two of their words; a passage is two
+neighbouring blocks of words, each as long as the class, so each item copied into a text lies
+wholly inside one passage, and no other item changes how far a passage reaches. Scores are divided by the item's score
 against itself, so one threshold holds for all items: 1 means that all terms of the item occur.
 
 For each batch of passages three bounds are applied, all exact: the sum of each term's best
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import materialize, measured, slices
+from zonewright.llm.common import carries, materialize, measured, slices
 from zonewright.llm.textkernel import LOWER, NOT_ALNUM, mix, text_buffer, weights, word_hashes, words
 
 _U = np.uint64
@@ -39,6 +40,8 @@ K1, B = 1.2, 0.75
 #: Postings in a block of a term's list, and groups of items with a bound for each term.
 POSTINGS, GROUPS = 8, 64
 GRAM = 3
+#: Words of the smallest length class of items.
+SHORTEST_WINDOW = 32
 HITS = (
     "doc_id bigint, item_id bigint, score double, question_overlap double, "
     "answer_overlap double, passage_start bigint"
@@ -78,19 +81,22 @@ class ItemIndex:
         documents: np.ndarray,
         total: int,
         mean_length: float,
+        window: int,
     ):
-        """``terms`` and ``documents``: every term of any item and how many items have it."""
+        """``terms`` and ``documents``: every term of any item and how many items have it.
+
+        ``window`` bounds the words of an item; a passage is two windows, and starts at each.
+        """
         self.names = names
         #: n-gram size and distinct n-grams of each side of each item
         self.sides = [
             [(min(GRAM, len(words)), grams(words)) for words in side]
             for side in (questions, answers)
         ]
-        self.window = 1
+        self.window = window
         found: list[tuple[int, int, float]] = []
         for item, (question, answer) in enumerate(zip(questions, answers)):
             whole = np.concatenate([question, answer])
-            self.window = max(self.window, len(whole))
             if not len(whole):
                 continue
             values, counts = np.unique(whole, return_counts=True)
@@ -190,8 +196,16 @@ def split_items(
     )
 
 
-def build_shards(items: DataFrame, shard_bytes: int = 32 << 20) -> Iterator[ItemIndex]:
-    """Indexes of at most about ``shard_bytes`` of item text each."""
+def length_class(words: int) -> int:
+    """Words of a window for an item: the next power of two, ``SHORTEST_WINDOW`` at least.
+
+    It depends on the item alone, so other items never decide whether a document holds it.
+    """
+    return max(SHORTEST_WINDOW, 1 << max(0, words - 1).bit_length())
+
+
+def build_shards(items: DataFrame, shard_bytes: int = 32 << 20) -> Iterator[list[ItemIndex]]:
+    """Indexes of at most about ``shard_bytes`` of item text, one for each length class."""
     kept = materialize(items.select("item_id", "question", "answer"), "test-items")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,14 +247,27 @@ def build_shards(items: DataFrame, shard_bytes: int = 32 << 20) -> Iterator[Item
         for name in ("question", "answer"):
             h, of = word_sequence(pa.array(rows[name].to_pylist(), pa.string()))
             sides.append([h[of[i] : of[i + 1]] for i in range(rows.num_rows)])
-        yield ItemIndex(
-            rows["item_id"].to_pylist(), *sides, terms, documents, total, length / total
-        )
+        names = rows["item_id"].to_pylist()
+        classes = [length_class(len(q) + len(a)) for q, a in zip(*sides)]
+        yield [
+            ItemIndex(
+                [names[i] for i in chosen],
+                *([side[i] for i in chosen] for side in sides),
+                terms,
+                documents,
+                total,
+                length / total,
+                window,
+            )
+            for window in sorted(set(classes))
+            for chosen in [[i for i, c in enumerate(classes) if c == window]]
+        ]
 
 
-def scan_batch(index: ItemIndex, texts: pa.Array, threshold: float, overlap: float) -> list[tuple]:
-    """Hits in the texts of a batch: text number, item, score, overlaps, first word."""
-    hashes, offsets = word_sequence(texts)
+def scan_batch(
+    index: ItemIndex, hashes: np.ndarray, offsets: np.ndarray, threshold: float, overlap: float
+) -> list[tuple]:
+    """Hits in the texts of a batch of words: text number, item, score, overlaps, first word."""
     counts = np.diff(offsets)
     known = index.lookup(hashes)
     at = np.flatnonzero(known >= 0)
@@ -297,21 +324,25 @@ def contaminated(
         F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")
     )
     found = None
-    for index in build_shards(items):
-        shared = spark.sparkContext.broadcast(index)
+    for indexes in build_shards(items):
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(
             batches: Iterator[pa.RecordBatch], shared=shared
         ) -> Iterator[pa.RecordBatch]:
-            index = shared.value
             for batch in batches:
                 for part in slices(batch, "_text", 2 << 20):
-                    hits = scan_batch(index, part.column("_text"), threshold, overlap)
+                    sequence = word_sequence(part.column("_text"))
+                    hits = [
+                        (text, index.names[item], *rest)
+                        for index in shared.value
+                        for text, item, *rest in scan_batch(index, *sequence, threshold, overlap)
+                    ]
                     ids = part.column("_id")
                     yield pa.RecordBatch.from_arrays(
                         [
                             ids.take(pa.array([h[0] for h in hits], pa.int64())),
-                            pa.array([index.names[h[1]] for h in hits], pa.int64()),
+                            pa.array([h[1] for h in hits], pa.int64()),
                             *(pa.array([h[k] for h in hits], pa.float64()) for k in (2, 3, 4)),
                             pa.array([h[5] for h in hits], pa.int64()),
                         ],
@@ -329,6 +360,7 @@ def contaminated(
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "_best.*")
 
 
+@carries("id_col", "text_col")
 def decontaminate(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
