@@ -21,7 +21,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonewright.llm.common import materialize, measured
+from zonewright.llm.common import carries, materialize, measured
 
 BAD, GOOD = "label:bad", "label:good"
 
@@ -132,6 +132,7 @@ def match_rules(urls: DataFrame, rules: DataFrame, frequency: DataFrame) -> Data
     )
 
 
+@carries("id_col", "url_col")
 def filter_urls(
     pages: DataFrame,
     labels: DataFrame,
@@ -140,10 +141,12 @@ def filter_urls(
     url_col: str = "url",
     min_support: float = 0.002,
     min_confidence: float = 0.5,
+    min_rows: int = 10,
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``matched_rule``.
 
-    ``labels``: ``_labelled`` (a page id) and ``bad``.
+    ``labels``: ``_labelled`` (a page id) and ``bad``. A rule needs ``min_support`` of the labelled
+    urls and ``min_rows`` of them, so that few labels make no rule of a single url.
     """
     partitions = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = pages.drop("host", "path", "rule", "verdict", "matched_rule", "tokens")
@@ -162,7 +165,8 @@ def filter_urls(
     frequency = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("n")
     )
-    mined = mine_rules(labelled, min_support, min_confidence, partitions)
+    support = max(min_support, min(1.0, min_rows / max(1, labelled.count())))
+    mined = mine_rules(labelled, support, min_confidence, partitions)
     matched = measured(match_rules(urls, mined, frequency), "matched-urls")
     rule, verdict = fixed_rule(rules)
     found = matched.withColumnRenamed("tokens", "_tokens")
