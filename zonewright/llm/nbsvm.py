@@ -8,12 +8,13 @@ all texts; what is broadcast has a fixed size.
 
 Defined results: a null or empty text has only its bins and gets a score; labels that are null
 or name no document are ignored; several labels of one id vote; without both classes every
-score is 0.5; repeated rows are scored each; an empty table gives an empty table; other columns
-pass through.
+score is 0.5; repeated rows are scored each; an empty table gives an empty table; ``score_texts``
+passes other columns through, ``quality_scores`` drops them; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ from zonewright.llm.textkernel import mix, text_buffer, word_hashes, words
 _U = np.uint64
 BITS = 20
 PLACES = 1 << BITS
+#: Of a dual variable, which lies between 0 and c.
+TOLERANCE = 1e-3
 
 
 def _place(values: np.ndarray, kind: int) -> np.ndarray:
@@ -98,11 +101,12 @@ class Model:
 
 
 def dual_coordinate_descent(
-    rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, c: float = 1.0, epochs: int = 12
+    rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, c: float = 1.0, epochs: int = 400
 ) -> tuple[np.ndarray, float]:
     """Weights and intercept of the hinge-loss model over ratio-scaled indicators.
 
-    One dual variable at a time is set to its best value in [0, c]; the weights follow.
+    One dual variable at a time is set to its best value in [0, c]; the weights follow, until no
+    variable moves by ``TOLERANCE`` in an epoch. Running out of epochs before that is told.
     """
     weights, intercept = np.zeros(len(ratio)), 0.0
     alpha = np.zeros(len(rows))
@@ -121,8 +125,10 @@ def dual_coordinate_descent(
                 intercept += step
                 alpha[i] = best
                 moved = max(moved, abs(step))
-        if moved < 1e-3:
+        if moved < TOLERANCE:
             break
+    else:
+        warnings.warn(f"a dual variable still moves by {moved:.2g} after {epochs} epochs", stacklevel=2)
     return weights, intercept
 
 
