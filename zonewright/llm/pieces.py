@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from zonewright.llm.textkernel import text_buffer, word_hashes
+from zonewright.llm.textkernel import mix, text_buffer, weights
 
 #: ASCII characters that some pre-tokenizer counts as white space.
 _SPACES = np.zeros(256, bool)
@@ -29,7 +29,10 @@ _MARKS = np.zeros(256, bool)
 _MARKS[[ord(c) for c in ".,;:!?%*#$&()\"/"]] = True
 
 #: Bytes that are cut at a time, and the longest piece that is looked up by its hash.
-WINDOW, LONGEST = 1 << 20, 256
+WINDOW, LONGEST = 2 << 20, 256
+#: Places of the marks that tell whether a piece was met before.
+MET = 1 << 21
+_WEIGHTS, _LENGTH = weights(LONGEST, 5), np.uint64(0xD6E8FEB86659FD93)
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -54,11 +57,36 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+def distinct_pieces(
+    data: np.ndarray, begin: np.ndarray, size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pieces of bytes that are all pieces, one after the other.
+
+    Their hashes, first occurrences and counts, the number of each piece's own, and which pieces differ
+    from the one with their hash.
+    """
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
+    value = (data.astype(np.uint64) + np.uint64(1)) * _WEIGHTS[place]
+    hashes = mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * _LENGTH)
+    found, first, same, counts = np.unique(
+        hashes, return_index=True, return_inverse=True, return_counts=True
+    )
+    lead = first[same]
+    unlike = size != size[lead]
+    # equal hashes are compared byte by byte
+    ahead = np.where(unlike, begin, begin[lead]).astype(np.int32)
+    wrong = np.flatnonzero(data != data[place + np.repeat(ahead, size)])
+    if len(wrong):
+        unlike[np.searchsorted(begin, wrong, "right") - 1] = True
+    return found, first, counts, same, unlike
+
+
 class PieceEncoder:
     """Token ids of whole texts, piece by piece.
 
     ``compute`` tokenizes many pieces at once and gives little-endian 32-bit numbers; ``stream``
     does one long piece. Results are kept by piece up to about ``limit`` bytes, then forgotten.
+    A piece that was met only once yet is not kept.
     """
 
     def __init__(
@@ -71,21 +99,26 @@ class PieceEncoder:
         self.stream = stream or (lambda piece: compute([piece])[0])
         self.known: dict[bytes, bytes] = {}
         self.held = 0
+        self.met = np.zeros(MET, bool)
 
-    def _tokens(self, pieces: list[bytes]) -> list[bytes]:
+    def _tokens(self, pieces: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
         found = list(map(self.known.get, pieces))
         missing = [k for k, tokens in enumerate(found) if tokens is None]
         if missing:
             fresh = [pieces[k] for k in missing]
-            size = 3 * sum(map(len, fresh)) + 200 * len(fresh)
+            made = self.compute([p.decode() for p in fresh])
+            for k, tokens in zip(missing, made):
+                found[k] = tokens
+            slot = (hashes[missing] % np.uint64(MET)).astype(np.int64)
+            again = np.flatnonzero(self.met[slot] | (counts[missing] > 1)).tolist()
+            self.met[slot] = True
+            size = 3 * sum(len(fresh[k]) for k in again) + 200 * len(again)
             if self.held + size > self.limit:
                 self.known.clear()
+                self.met[:] = False
                 self.held = 0
-            made = self.compute([p.decode() for p in fresh])
-            self.known.update(zip(fresh, made))
+            self.known.update((fresh[k], made[k]) for k in again)
             self.held += size
-            for k, tokens in zip(missing, made):
-                found[k] = tokens
         return found
 
     def _window(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,36 +126,27 @@ class PieceEncoder:
         begin = piece_starts(data, offsets)
         if not len(begin):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
-        end = np.append(begin[1:], len(data))
-        long = end - begin > LONGEST
+        size = np.diff(np.append(begin, len(data)))
+        long = size > LONGEST
         which = np.zeros(len(begin), np.int64)
-        short = np.flatnonzero(~long)
-        raw = data.tobytes()
         tokens: list[bytes] = []
-        if len(short):
-            b, e = begin[short], end[short]
-            _, first, same = np.unique(
-                word_hashes(data, b, e), return_index=True, return_inverse=True
-            )
-            # equal hashes are compared byte by byte; a piece unlike its namesake goes alone
-            other = first[same]
-            unlike = (e - b) != (e - b)[other]
-            size = np.where(unlike, 0, e - b)
-            ahead = np.repeat(np.cumsum(size) - size, size)
-            place = np.arange(len(ahead)) - ahead
-            wrong = data[np.repeat(b, size) + place] != data[np.repeat(b[other], size) + place]
-            if wrong.any():
-                unlike[np.repeat(np.arange(len(b)), size)[wrong]] = True
-            tokens = self._tokens([raw[x:y] for x, y in zip(b[first].tolist(), e[first].tolist())])
+        if not long.all():
+            short = np.flatnonzero(~long)
+            kept = data[np.repeat(~long, size)] if long.any() else data
+            b = np.cumsum(size[short]) - size[short]
+            hashes, first, counts, same, unlike = distinct_pieces(kept, b, size[short])
+            raw = kept.tobytes()
+            spans = zip(b[first].tolist(), (b + size[short])[first].tolist())
+            tokens = self._tokens([raw[x:y] for x, y in spans], hashes, counts)
             which[short] = same
             long[short[unlike]] = True
         for k in np.flatnonzero(long).tolist():
             which[k] = len(tokens)
-            tokens.append(self.stream(raw[begin[k] : end[k]].decode()))
+            tokens.append(self.stream(data[begin[k] : begin[k] + size[k]].tobytes().decode()))
         flat = np.frombuffer(b"".join(tokens), "<u4")
-        size = np.array([len(t) // 4 for t in tokens])
-        starts = np.cumsum(size) - size
-        counts = size[which]
+        length = np.array([len(t) for t in tokens]) // 4
+        starts = np.cumsum(length) - length
+        counts = length[which]
         after = np.concatenate([[0], np.cumsum(counts)])
         source = np.arange(after[-1]) + np.repeat(starts[which] - after[:-1], counts)
         return flat[source], after[np.searchsorted(begin, offsets)]

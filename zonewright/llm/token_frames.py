@@ -147,8 +147,9 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@lru_cache(maxsize=1)
 def library_encoder(path: str) -> PieceEncoder:
-    """Ids by the tokenizers library; what it remembers ends with the task that made it."""
+    """Ids by the tokenizers library; one per Python worker, which remembers a bounded number of bytes."""
     tokenizer = _tokenizer(path)
 
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
