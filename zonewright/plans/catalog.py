@@ -6,8 +6,10 @@ from zonewright.plans import (  # noqa: F401
     geometry_queries,
     indicator_queries,
     io_queries,
+    overlay_queries,
     product_queries,
     raster_queries,
+    span_queries,
 )
 from zonewright.plans.registry import CHECKS, QUERIES
 
