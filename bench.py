@@ -35,6 +35,12 @@ HEADLINE = [
     "outputs_by_indicator",
     "compare_versions",
     "top_series",
+    "sum_area_spans",
+    "sum_area_spans_shuffled",
+    "spatial_join_polygons_shuffled",
+    "meeting_pairs_shuffled",
+    "meeting_pairs_detailed",
+    "sum_area_overlap",
 ]
 
 

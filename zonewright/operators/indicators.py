@@ -91,7 +91,8 @@ def zonal_aggregate(
     only the pixels of cells crossed by an outline are shuffled.
     """
     cells = stored(cover_cells(pieces_m, keys, cell))
-    placed = pixels.withColumns(
+    read = dict.fromkeys([*pixel_key, *by, "x", "y", *([value] if value else [])])
+    placed = pixels.select(*read).withColumns(
         {"cx": cell_of(F.col("x"), cell), "cy": cell_of(F.col("y"), cell)}
     )
     measures = [F.count("*").alias("n")]

@@ -23,7 +23,9 @@ _EDGE_BYTES, _ROW_BYTES = 64, 128
 
 
 def cell_of(coordinate: Column, size: float) -> Column:
-    return F.floor(coordinate / F.lit(float(size))).cast("int")
+    """Number of the cell a coordinate lies in; null where there is none (NaN, infinite, too far out)."""
+    finite = (coordinate > float("-inf")) & (coordinate < float("inf"))
+    return F.when(finite, F.floor(coordinate / F.lit(float(size))).try_cast("int"))
 
 
 def stored_bytes(
@@ -106,20 +108,20 @@ def join_on_cells(
     hot = stored(
         per_cell.withColumn("_share", share)
         .filter(F.col("_share") > 1)
-        .select(*on, F.ceil("_share").cast("int").alias("_salts"))
+        .select(*on, F.ceil("_share").cast("int").alias("__salts"))
     )
     if hot.isEmpty():
         return rows.join(cells.hint("shuffle_merge"), on)
     salted_rows = rows.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.coalesce(F.pmod(F.xxhash64(*row_key), F.col("_salts")).cast("int"), F.lit(0)),
+        "__salt",
+        F.coalesce(F.pmod(F.xxhash64(*row_key), F.col("__salts")).cast("int"), F.lit(0)),
     )
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    salted_cells = cells.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(salts))
-    joined = salted_rows.drop("_salts").join(
-        salted_cells.drop("_salts").hint("shuffle_merge"), [*on, "_salt"]
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
+    salted_cells = cells.join(F.broadcast(hot), on, "left").withColumn("__salt", F.explode(salts))
+    joined = salted_rows.drop("__salts").join(
+        salted_cells.drop("__salts").hint("shuffle_merge"), [*on, "__salt"]
     )
-    return joined.drop("_salt")
+    return joined.drop("__salt")
 
 
 def spatial_join_points(
@@ -136,15 +138,19 @@ def spatial_join_points(
     """All (point, zone) pairs where the zone covers the point, boundary included.
 
     The cell rows of the zones are stored first; their measured size decides
-    between a broadcast and a salted shuffle.
+    between a broadcast and a salted shuffle. Points without a finite position match nothing.
+    All columns of both sides come through (names that begin with two underscores are the join's).
     """
-    cells = stored(cover_cells(zones, zone_keys, cell, geometry))
-    small = stored_bytes(cells, "edges") <= broadcast_bytes
+    # names of the join's own, so that every column of the caller comes through
+    own = {"cx": "__cx", "cy": "__cy", "edges": "__edges"}
+    cells = stored(cover_cells(zones, zone_keys, cell, geometry).withColumnsRenamed(own))
+    small = stored_bytes(cells, "__edges") <= broadcast_bytes
     placed = points.withColumns(
-        {"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)}
-    ).filter(F.col("cx").isNotNull() & F.col("cy").isNotNull())
-    inside = F.expr(f"edges IS NULL OR {g.covers('edges', f'`{x}`', f'`{y}`')}")
-    return join_on_cells(placed, cells, point_key, small).filter(inside).drop("cx", "cy", "edges")
+        {"__cx": cell_of(F.col(x), cell), "__cy": cell_of(F.col(y), cell)}
+    ).filter(F.col("__cx").isNotNull() & F.col("__cy").isNotNull())
+    inside = F.expr(f"__edges IS NULL OR {g.covers('__edges', f'`{x}`', f'`{y}`')}")
+    joined = join_on_cells(placed, cells, point_key, small, ("__cx", "__cy"))
+    return joined.filter(inside).drop(*own.values())
 
 
 def _bbox_cells(df: DataFrame, size: float, geometry: str, tag: str) -> DataFrame:

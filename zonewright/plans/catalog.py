@@ -10,6 +10,7 @@ from zonewright.plans import (  # noqa: F401
     product_queries,
     raster_queries,
     span_queries,
+    structure_queries,
 )
 from zonewright.plans.registry import CHECKS, QUERIES
 
