@@ -6,6 +6,7 @@ from zonewright.plans import (  # noqa: F401
     geometry_queries,
     indicator_queries,
     io_queries,
+    manifest_queries,
     overlay_queries,
     product_queries,
     raster_queries,
