@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from zonewright.functions import geometry as g
 from zonewright.operators import chunk_mosaic, patches, raster
 from zonewright.plans import inputs
 from zonewright.plans.inputs import PIXEL_M, tables_sql
 from zonewright.plans.raster_queries import cells
 from zonewright.plans.registry import query
 from zonewright.session import scratch_path
-from zonewright.sources import layout
+from zonewright.sources import geojson, layout
 
 
 @query(
@@ -65,3 +66,33 @@ def count_in_layout(spark, sf_dir):
     root = scratch_path(spark, "point-layout")
     layout.write_by_curve(inputs.points(spark, sf_dir), root)
     return layout.count_in_layout(spark, root, inputs.zones(spark, sf_dir), ["point_id"])
+
+
+@query(
+    "read_geojson_split",
+    tables_sql("feature_base")
+    + "SELECT feature_id, class, 5 AS n_vertices, ROUND(2e0*half*half,6) AS area_deg2 FROM feature_base",
+)
+def read_geojson_split(spark, sf_dir):
+    """One file with all features, read in ranges of 64 KB."""
+    root = scratch_path(spark, "geojson")
+    coordinates = F.transform(
+        F.get("geometry", F.lit(0)),
+        lambda ring: F.transform(ring, lambda v: F.array(v["x"], v["y"])),
+    )
+    feature = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct("feature_id", "class", F.lit('a "}]" \\').alias("odd")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")).alias("geometry"),
+    )
+    rows = inputs.features(spark, sf_dir).select(F.lit(1).alias("o"), F.concat(F.to_json(feature), F.lit(",")).alias("value"))
+    head = '{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"CRS84"}},"features":['
+    ends = spark.createDataFrame([(0, head), (2, '{"type":"other"}]}')], "o int, value string")
+    rows.unionByName(ends).coalesce(1).sortWithinPartitions("o").select("value").write.text(root)
+    read = geojson.read_geojson_split(spark, root, "feature_id bigint, class string", split_bytes=1 << 16)
+    return read.select(
+        "feature_id",
+        "class",
+        F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
+        F.round(F.expr(g.area("geometry")), 6).alias("area_deg2"),
+    )
