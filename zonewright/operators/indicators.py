@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from zonewright.functions import geometry as g
-from zonewright.functions.checks import require_none
+from zonewright.functions.checks import require_each, require_none
 from zonewright.operators.filters import parse_value_lists
 from zonewright.operators.geometry import (
     BOUNDS,
@@ -45,6 +45,9 @@ SUM_AREA = r"^sum-.*-area$"
 PERCENT_AREA = r"^percent-.*-area$"
 COUNT = r"^count-.*$"
 
+# The data formats that hold scenes of rasters, and vector features.
+RASTER_FORMATS, VECTOR_FORMATS = ["stac-geoparquet"], ["geoparquet", "parquet"]
+
 PIECE = ["zone_id", "part", "tile"]
 RASTER_CELL_M = 200_000.0
 
@@ -281,6 +284,38 @@ def raster_vs_vector(raster: DataFrame, vector: DataFrame, on: list[str]) -> Dat
     return both.withColumn("diff_m2", F.col("raster_m2") - F.col("vector_m2"))
 
 
+def _with_data_kind(kinds: DataFrame, provenance: DataFrame) -> DataFrame:
+    """Adds ``_data``: what the data set of each sum holds, by the format in its record."""
+    kind = F.when(F.col("dataType").isin(RASTER_FORMATS), "raster").when(
+        F.col("dataType").isin(VECTOR_FORMATS), "vector"
+    )
+    records = provenance.select(F.col("name").alias("_of"), kind.alias("_data"))
+    joined = kinds.join(records, F.col("name") == F.col("_of"), "left").drop("_of")
+    known = (F.col("kind") != "sum-area") | F.col("_data").isNotNull()
+    return require_each(joined, known, F.concat(F.lit("no data format known for "), F.col("name")))
+
+
+def _feature_areas(
+    features: DataFrame,
+    pieces: DataFrame,
+    feature_key: list[str],
+    dedupe: bool,
+    cell: float,
+    broadcast_bytes: int,
+) -> DataFrame:
+    """(zone_id, asset, area_m2): whole area of the features that meet the pieces of a zone."""
+    measured = with_area_m2(features).select(*feature_key, "asset", "area_m2", "geometry")
+    pairs = spatial_join_polygons(
+        measured, pieces.select(*PIECE, "geometry"), feature_key, cell=cell, broadcast_bytes=broadcast_bytes
+    )
+    if dedupe:
+        pairs = pairs.groupBy("zone_id", "asset", *feature_key).agg(F.first("area_m2").alias("area_m2"))
+        per_piece = pairs.groupBy("zone_id", "asset").agg(F.sum("area_m2").alias("_a"))
+    else:
+        per_piece = pairs.groupBy(*PIECE, "asset").agg(F.sum("area_m2").alias("_a"))
+    return _sum_rounded(per_piece, F.col("_a"), ["asset"])
+
+
 def compute_indicators(
     zones: DataFrame,
     spec: DataFrame,
@@ -293,10 +328,18 @@ def compute_indicators(
     raster_cell: float = RASTER_CELL_M,
     point_cell: float = 1.0,
     broadcast_bytes: int = BROADCAST_BYTES,
+    features: DataFrame | None = None,
+    feature_key: list[str] | None = None,
+    provenance: DataFrame | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """All indicators of a run for all zones and years: (zone_id, year, indicators map).
 
-    ``spec`` rows are (key, name, value); ``pixels`` has ``asset, yr, x, y, value``.
+    ``spec`` rows are (key, name, value); ``pixels`` has ``asset, yr, x, y, value`` and ``features``
+    ``asset`` and ``geometry``. ``provenance`` rows (name, dataType) say of each data set of a sum whether
+    it is a raster or holds vector features; a name without a row, or a format of neither kind, fails the
+    job. Without it all are rasters. A sum over features is the whole area of those that meet a piece
+    of the zone, whatever their time, once per piece or with ``dedupe`` once per zone.
     The pixels are counted once per piece, year, asset and value; the spec then
     joins those counts, so more indicators cost no further pass. The spec has
     at most one row per known key (a key given twice fails the job), which bounds its
@@ -305,7 +348,12 @@ def compute_indicators(
     twice = spec.groupBy("key").count().filter("count > 1").select("key")
     spec = require_none(spec, twice, "indicators given twice")
     checked, _ = validate_indicators(spec, datetime_match=str(years[0]))
-    kinds = F.broadcast(parse_value_lists(classify_indicators(checked)).drop("value"))
+    kinds = parse_value_lists(classify_indicators(checked)).drop("value")
+    if provenance is not None:
+        kinds = _with_data_kind(kinds, provenance)
+    else:
+        kinds = kinds.withColumn("_data", F.lit("raster"))
+    kinds = F.broadcast(kinds)
     pieces = stored(zone_pieces(zones.select("zone_id", "geometry")))
     pieces_m = project_zones(pieces)
     asked = kinds.agg(F.collect_list(F.struct("key", "kind")).alias("s")).scalar()
@@ -320,7 +368,9 @@ def compute_indicators(
         )
         listed = F.col("numbers").isNull() | F.array_contains("numbers", F.col("value"))
         per_piece = (
-            counts.join(kinds.filter(F.col("kind") == "sum-area"), F.col("asset") == F.col("name"))
+            counts.join(
+                kinds.filter("kind = 'sum-area' AND _data = 'raster'"), F.col("asset") == F.col("name")
+            )
             .select(*PIECE, F.col("yr").alias("year"), "key", "n", listed.alias("_listed"))
             .filter("_listed")
             .groupBy(*PIECE, "year", "key")
@@ -331,6 +381,16 @@ def compute_indicators(
             .groupBy("zone_id", "year", "key")
             .agg(F.sum("_m").alias("measure"))
         )
+    if features is not None:
+        areas = _feature_areas(features, pieces, feature_key, dedupe, point_cell, broadcast_bytes)
+        asked_of = kinds.filter("kind = 'sum-area' AND _data = 'vector'")
+        summed = (
+            areas.join(asked_of, F.col("asset") == F.col("name"))
+            .select("zone_id", "key", "area_m2")
+            .join(base.filter(F.col("kind") == "sum-area").drop("kind"), ["zone_id", "key"])
+            .select("zone_id", "year", "key", F.col("area_m2").alias("measure"))
+        )
+        measured = summed if measured is None else measured.unionByName(summed)
     if points is not None:
         hits = spatial_join_points(
             points, pieces, PIECE, point_key, cell=point_cell, broadcast_bytes=broadcast_bytes
