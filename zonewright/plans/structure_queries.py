@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from zonewright.functions import geometry as g
-from zonewright.operators import chunk_mosaic, patches, raster
+from zonewright.operators import chunk_mosaic, patches, quadtree, raster
 from zonewright.plans import inputs
+from zonewright.plans.indicator_queries import zone_parts
 from zonewright.plans.inputs import PIXEL_M, tables_sql
 from zonewright.plans.raster_queries import cells
 from zonewright.plans.registry import query
@@ -96,3 +97,40 @@ def read_geojson_split(spark, sf_dir):
         F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
         F.round(F.expr(g.area("geometry")), 6).alias("area_deg2"),
     )
+
+
+_TILES_SQL = """v AS (SELECT zone_id, part, (lon1+180e0)/360e0 AS x1, (1e0-LN(TAN(RADIANS(lat1))+1e0/COS(RADIANS(lat1)))/PI())/2e0 AS y1,
+     (lon2+180e0)/360e0 AS x2, (1e0-LN(TAN(RADIANS(lat2))+1e0/COS(RADIANS(lat2)))/PI())/2e0 AS y2 FROM zone_edges),
+    b AS (SELECT zone_id, part, MIN(x1) AS minx, MAX(x1) AS maxx, MIN(y1) AS miny, MAX(y1) AS maxy FROM v GROUP BY 1,2),
+    c AS (SELECT zone_id, part, z, tile_x, UNNEST(generate_series(CAST(FLOOR(miny*2**z-1e-9) AS BIGINT), CAST(FLOOR(maxy*2**z+1e-9) AS BIGINT))) AS tile_y FROM
+     (SELECT *, UNNEST(generate_series(CAST(FLOOR(minx*2**z-1e-9) AS BIGINT), CAST(FLOOR(maxx*2**z+1e-9) AS BIGINT))) AS tile_x FROM
+      b CROSS JOIN (SELECT CAST(UNNEST(generate_series(0,7)) AS INT) AS z))),
+    d AS (SELECT c.zone_id, c.part, z, tile_x, tile_y,
+     COUNT(*) FILTER (LEAST(x1,x2)*2**z<=tile_x+1+1e-9 AND GREATEST(x1,x2)*2**z>=tile_x-1e-9
+      AND LEAST(y1,y2)*2**z<=tile_y+1+1e-9 AND GREATEST(y1,y2)*2**z>=tile_y-1e-9)>0 AS met,
+     COUNT(*) FILTER ((y1*2**z>tile_y+0.5e0)<>(y2*2**z>tile_y+0.5e0)
+      AND (tile_x+0.5e0)<((x2-x1)*((tile_y+0.5e0)/2**z-y1)/(y2-y1)+x1)*2**z)%2=1 AS within
+     FROM c JOIN v ON v.zone_id=c.zone_id AND v.part=c.part GROUP BY ALL),
+    t AS (SELECT d.*, NOT d.met AS whole FROM d LEFT JOIN d p ON p.zone_id=d.zone_id AND p.part=d.part AND p.z=d.z-1
+      AND p.tile_x=d.tile_x//2 AND p.tile_y=d.tile_y//2 WHERE d.met OR (d.within AND p.met))"""
+
+
+@query(
+    "quadtree",
+    tables_sql("zone_edges") + f", {_TILES_SQL} SELECT zone_id, part, z, tile_x, tile_y, whole FROM t",
+)
+def quadtree_query(spark, sf_dir):
+    return quadtree.quadtree(zone_parts(spark, sf_dir), ["zone_id", "part"], 7)
+
+
+@query(
+    "thin_tiles",
+    tables_sql("zone_edges")
+    + f""", {_TILES_SQL}, n AS (SELECT z, tile_x, tile_y, zone_id*2+part AS piece, s_acctbal AS rank FROM t JOIN supplier ON s_suppkey=zone_id)
+    SELECT * FROM n QUALIFY ROW_NUMBER() OVER (PARTITION BY z, tile_x, tile_y ORDER BY rank DESC, piece)<=3""",
+)
+def thin_tiles(spark, sf_dir):
+    tiles = quadtree.quadtree(zone_parts(spark, sf_dir), ["zone_id", "part"], 7)
+    balance = inputs.zones(spark, sf_dir).select("zone_id", F.col("balance").alias("rank"))
+    ranked = tiles.join(balance, "zone_id").withColumn("piece", F.col("zone_id") * 2 + F.col("part"))
+    return quadtree.thin_tiles(ranked, "piece", "rank", 3, 7).drop("whole")
