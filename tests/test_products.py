@@ -231,3 +231,9 @@ def test_reports(spark):
     compared = analytics.compare_versions(df, other, ["zone_id", "year"])
     assert sorted((r["zone_id"], r["year"], r["diff"], r["rel_diff"]) for r in compared.collect()) == [(1, 2019, 1.0, 0.5), (1, 2020, 2.0, 0.5), (2, 2020, 0.5, 0.5)]
     assert analytics.top_diff(compared, k=1).first()["diff"] == 2.0
+
+
+def test_a_name_of_blanks_fails(spark):
+    rows = spark.createDataFrame([(1, "  ")], "k bigint, name string")
+    with pytest.raises(Exception, match="null or blank name at 1"):
+        products.add_id_name(rows, "name", "key", "2020", "k").collect()

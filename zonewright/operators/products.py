@@ -202,7 +202,7 @@ def add_id_name(
     name_column: str = "zone_name",
     namespace=uuid.NAMESPACE_URL,
 ) -> DataFrame:
-    """Adds id and name; a null or empty name fails the job.
+    """Adds id and name; a null or blank name fails the job.
 
     The id is made of key, run time and the row's own source key, so a rerun
     with the same parameters gives the same ids.
@@ -212,7 +212,7 @@ def add_id_name(
     named = F.col(name_field)
     message = F.concat(F.lit("null or blank name at "), F.col(source_key).cast("string"))
     unique = text.uuid5(F.concat(F.lit(key + run_time), F.col(source_key).cast("string")), namespace)
-    checked = require_each(df, named.isNotNull() & (named != ""), message)
+    checked = require_each(df, named.isNotNull() & (F.trim(named) != ""), message)
     return checked.withColumns({id_column: unique, name_column: named})
 
 
