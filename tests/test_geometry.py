@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shapes import box, covers, ring, zones
 from zonewright.functions import geometry as g
-from zonewright.functions.wkb import from_wkb, to_wkb
+from zonewright.functions.wkb import from_wkb, srid_of, to_wkb
 from zonewright.operators import geometry as ops
+from zonewright.sources.tables import polygons_from_wkb
 
 DONUT = [box(0, 0, 10, 10), box(4, 4, 6, 6)]
 CONCAVE = [ring((0, 0), (12, 0), (12, 4), (4, 4), (4, 12), (0, 12))]
@@ -192,6 +193,11 @@ def test_wkb(spark):
     rows = spark.createDataFrame([(1, bytearray(z)), (2, None)], "i int, wkb binary")
     got = {r["i"]: r["g"] for r in rows.select("i", from_wkb(F.col("wkb")).alias("g")).collect()}
     assert [(v["x"], v["y"]) for v in got[1][0][0]] == [(0, 0), (1, 0), (0, 0)] and got[2] is None
+    srids = coded.filter("wkb IS NOT NULL").select(F.expr(srid_of("wkb"))).collect()
+    assert [r[0] for r in srids] == [4326, 4326, 4326]
+    assert rows.select(F.expr(srid_of("wkb"))).first()[0] is None
+    big = spark.createDataFrame([(bytearray(struct.pack(">BIIII", 0, 0x20000003, 6933, 1, 0)),)], "wkb binary")
+    assert big.select(F.expr(srid_of("wkb"))).first()[0] == 6933
     point = spark.createDataFrame([(bytearray(struct.pack("<BIdd", 1, 1, 1, 2)),)], "wkb binary")
     with pytest.raises(Exception, match="geometry of kind 1"):
         point.select(from_wkb(F.col("wkb"))).collect()
@@ -206,3 +212,22 @@ def test_small_zones_survive_clip_and_split(spark):
         "zone_id int, minx double, miny double, maxx double, maxy double",
     )
     assert ops.clip_to_boxes(df, world, ["zone_id"]).count() == 1
+
+
+def test_binary_polygons_keep_their_coordinate_system(spark):
+    # the inverse is a series of the projection, good to about 1e-8 degrees (a millimetre)
+    df = zones(spark, {1: [DONUT], 2: [CONCAVE], 3: None})
+    metres = ops.project_zones(df).withColumn("geometry", to_wkb(F.col("geometry"), 6933))
+    back = {r["zone_id"]: r["geometry"] for r in polygons_from_wkb(metres).collect()}
+    for r in df.collect():
+        if r["geometry"] is None:
+            assert back[r["zone_id"]] is None
+            continue
+        for want, got in zip(r["geometry"], back[r["zone_id"]], strict=True):
+            flat = [(v["x"], v["y"]) for x in want for v in x]
+            assert [(v["x"], v["y"]) for x in got for v in x] == [pytest.approx(v, abs=1e-7) for v in flat]
+    degrees = df.withColumn("geometry", to_wkb(F.col("geometry")))
+    assert [r["geometry"] for r in polygons_from_wkb(degrees, srid=6933).collect()] == [r["geometry"] for r in df.collect()]
+    other = df.withColumn("geometry", to_wkb(F.col("geometry"), 3577))
+    with pytest.raises(Exception, match="not supported: EPSG:3577"):
+        polygons_from_wkb(other).collect()

@@ -200,6 +200,46 @@ def test_provenance(spark, folder):
     assert provenance.read_provenance(spark, folder).select("dataUrl", "dataType").first() == ("s3://d", "parquet")
 
 
+def test_records_hold_workflow_and_metadata(spark, folder):
+    row = [("set", "parquet", "s3://d", "s3://d.parquet", 5, "t", "s3://m.xml"), ("bare", "parquet", "s3://e", "s3://e.parquet", 6, "t", None)]
+    columns = "id string, data_type string, data_url string, path string, size long, tag string, source_metadata_url string"
+    info = spark.createDataFrame(row, columns)
+    steps = spark.createDataFrame([("b", "run", 1), ("a", "get", 0)], "label string, command string, position long")
+    log = provenance.append_step(None, steps)
+    records = provenance.provenance_rows(
+        info, "2024Z", "code", "image", workflow_dag=provenance.workflow_steps(log), workflow_dag_simple='{"a": ["b"]}'
+    )
+    documents = provenance.provenance_documents(records)
+    read = {u: json.loads(v) for u, v in documents.collect()}
+    assert read["s3://d.parquet.provenance.json"]["workflowDag"] == [{"label": "a", "command": "get"}, {"label": "b", "command": "run"}]
+    assert read["s3://d.parquet.provenance.json"]["sourceMetadataUrl"] == "s3://m.xml"
+    assert "sourceMetadataUrl" not in read["s3://e.parquet.provenance.json"]
+    documents.select("value").write.text(f"{folder}/records")
+    back = provenance.read_provenance(spark, f"{folder}/records", "*.txt", lines=True)
+    assert {r["id"]: json.loads(r["workflowDagSimple"]) for r in back.collect()} == {"set": {"a": ["b"]}, "bare": {"a": ["b"]}}
+    empty = provenance.provenance_rows(info, "t", "c", "i", workflow_dag=provenance.workflow_steps(log.limit(0)))
+    assert empty.first()["workflowDag"] is None
+    with pytest.raises(Exception, match="(?i)json"):
+        provenance.provenance_rows(info, "t", "c", "i", workflow_dag="{no").collect()
+
+
+def test_reports_read_their_rows_once(spark):
+    rows = [(1, 2020, 5.0), (1, 2021, 7.0), (2, 2021, 9.0), (None, 2020, 1.0), (3, None, 2.0), (2, 2021, 1.0)]
+    df = spark.createDataFrame([(z, str(z), y, "i", v) for z, y, v in rows], "zone_id int, zone_name string, year int, indicator string, value double")
+    got = analytics.summary(df)
+    assert tuple(got.first()) == (6, 2020, 2021, 3, 17.0, 9.0, 3)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan ") == 1
+    assert analytics.summary(df.limit(0)).first()["n_zones"] == 0
+    series = {r["year"]: (r["top_1"], r["top_2"]) for r in analytics.top_series(df, 2).collect()}
+    assert series == {2020: (None, 5.0), 2021: (10.0, 7.0)}
+
+
+def test_a_key_twice_in_a_batch_fails_before_writing(spark, folder):
+    both = outputs(spark)
+    with pytest.raises(Exception, match="documents given twice"):
+        sinks.write_product_json(both.unionByName(both), f"{folder}/twice", "reef")
+
+
 def test_step_log_skips_damage(spark, folder):
     root = f"{folder}/steps"
     steps = spark.createDataFrame([("a", 0), ("b", 1)], "label string, position long")

@@ -11,6 +11,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from zonewright.functions.geometry import GEOMETRY
@@ -79,26 +80,55 @@ def _decode(blobs: pa.Array) -> pa.Array:
 
 
 def _encode(geometry: pa.Array, srid: int) -> pa.Array:
-    def polygon(rings: list) -> bytes:
-        out = struct.pack("<I", len(rings))
-        for ring in rings:
-            flat = np.array([(v["x"], v["y"]) for v in ring], "<f8")
-            out += struct.pack("<I", len(ring)) + flat.tobytes()
-        return out
-
-    def whole(parts: list | None) -> bytes | None:
-        if parts is None:
-            return None
-        if len(parts) == 1:
-            return struct.pack("<BII", 1, POLYGON | HAS_SRID, srid) + polygon(parts[0])
-        head = struct.pack("<BIII", 1, MULTIPOLYGON | HAS_SRID, srid, len(parts))
-        return head + b"".join(struct.pack("<BI", 1, POLYGON) + polygon(p) for p in parts)
-
-    return pa.array([whole(g) for g in geometry.to_pylist()], pa.binary())
+    """Each level is flattened once; a ring is a slice of one coordinate buffer."""
+    part_counts = pc.list_value_length(geometry).to_pylist()
+    parts = geometry.flatten()
+    rings = parts.flatten()
+    vertices = rings.flatten()
+    lengths = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False)
+    axes = dict(zip((f.name for f in vertices.type), vertices.flatten(), strict=True))
+    pairs = np.stack([axes[c].to_numpy(zero_copy_only=False).astype("<f8") for c in "xy"], axis=1)
+    buffer = memoryview(pairs.tobytes())
+    ends = np.cumsum(lengths, dtype="int64") * 16
+    pieces = [
+        struct.pack("<I", n) + buffer[end - 16 * n : end]
+        for n, end in zip(lengths.tolist(), ends.tolist(), strict=True)
+    ]
+    ring_counts = pc.fill_null(pc.list_value_length(parts), 0).to_pylist()
+    polygons, at = [], 0
+    for n in ring_counts:
+        polygons.append(struct.pack("<I", n) + b"".join(pieces[at : at + n]))
+        at += n
+    whole, at = [], 0
+    for n in part_counts:
+        if n is None:
+            whole.append(None)
+            continue
+        own = polygons[at : at + n]
+        at += n
+        if n == 1:
+            whole.append(struct.pack("<BII", 1, POLYGON | HAS_SRID, srid) + own[0])
+        else:
+            head = struct.pack("<BIII", 1, MULTIPOLYGON | HAS_SRID, srid, n)
+            whole.append(head + b"".join(struct.pack("<BI", 1, POLYGON) + p for p in own))
+    return pa.array(whole, pa.binary())
+
+
+def srid_of(blob: str) -> str:
+    """Number of the coordinate system in extended WKB, as SQL text over a binary; null without one."""
+    head = f"hex(substring({blob}, 1, 9))"
+
+    def word(at: int) -> str:
+        octets = [f"substr({head}, {at + 2 * i}, 2)" for i in range(4)]
+        swapped = ", ".join(reversed(octets))
+        text = f"CASE WHEN substr({head}, 1, 2) = '01' THEN concat({swapped}) ELSE concat({', '.join(octets)}) END"
+        return f"CAST(conv({text}, 16, 10) AS BIGINT)"
+
+    return f"CASE WHEN {word(3)} & {HAS_SRID}L != 0 THEN {word(11)} END"
 
 
 def from_wkb(column: Column) -> Column:
-    """Polygon or MultiPolygon WKB (plain, extended or ISO) -> geometry; else null."""
+    """Polygon or MultiPolygon WKB (plain, extended or ISO) -> geometry; other kinds fail the job."""
 
     @F.arrow_udf(GEOMETRY)
     def decode(blobs: pa.Array) -> pa.Array:

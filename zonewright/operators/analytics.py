@@ -5,7 +5,9 @@ Input rows are (zone_id, zone_name, year, indicator, value).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from zonewright.session import stored
 
 # Square metres per unit.
 UNIT_M2 = {"m²": 1.0, "km²": 1e6, "million ha": 1e10}
@@ -26,11 +28,18 @@ def _latest(df: DataFrame) -> DataFrame:
 
 
 def summary(df: DataFrame, value: str = "value") -> DataFrame:
-    """One row of figures, from one aggregate per year and one over the years."""
-    per_year = df.groupBy("year").agg(
+    """One row of figures from one pass: per zone and year, then per year, then over the years.
+
+    A zone counts in the first of its years, so the zones of all years add up.
+    """
+    per_zone = df.groupBy("zone_id", "year").agg(
         F.count("*").alias("n"), F.sum(value).alias("total"), F.max(value).alias("top")
     )
-    zones = df.agg(F.count_distinct("zone_id").alias("n")).scalar()
+    place = F.row_number().over(Window.partitionBy("zone_id").orderBy("year"))
+    first = (F.col("zone_id").isNotNull() & (place == 1)).cast("long")
+    per_year = per_zone.withColumn("first", first).groupBy("year").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("top").alias("top"), F.sum("first").alias("first")
+    )
     return per_year.agg(
         F.sum("n").alias("n_rows"),
         F.min("year").alias("year_first"),
@@ -38,7 +47,8 @@ def summary(df: DataFrame, value: str = "value") -> DataFrame:
         F.count("*").alias("n_years"),
         F.round(F.max_by("total", "year"), 3).alias("latest_total"),
         F.round(F.max("top"), 3).alias("max_value"),
-    ).withColumn("n_zones", zones)
+        F.coalesce(F.sum("first"), F.lit(0)).alias("n_zones"),
+    )
 
 
 def top_latest(df: DataFrame, k: int = 10, value: str = "value") -> DataFrame:
@@ -58,12 +68,12 @@ def annual_totals(df: DataFrame, value: str = "value") -> DataFrame:
 def top_series(df: DataFrame, k: int = 5, value: str = "value") -> DataFrame:
     """Year x top-k zones of the latest year, as columns ``top_1`` .. ``top_k``.
 
-    Zones are ranked by their latest total; ``top_latest`` names them.
+    Zones are ranked by their latest total; ``top_latest`` names them. The rows are read once:
+    totals per zone and year are kept, and ranked and laid out from there.
     """
+    totals = stored(df.groupBy("zone_id", "year").agg(F.sum(value).alias("_total")))
     ranked = (
-        _latest(df)
-        .groupBy("zone_id")
-        .agg(F.sum(value).alias("_total"))
+        _latest(totals)
         .orderBy(F.col("_total").desc_nulls_last(), "zone_id")
         .limit(k)
     )
@@ -71,11 +81,11 @@ def top_series(df: DataFrame, k: int = 5, value: str = "value") -> DataFrame:
     ids = ranked.agg(F.transform(order, lambda s: s["zone_id"]).alias("ids")).scalar()
     rank = F.array_position(ids, F.col("zone_id"))
     return (
-        df.withColumn("_rank", rank)
+        totals.withColumn("_rank", rank)
         .filter(F.col("_rank") > 0)
         .groupBy("year")
         .pivot("_rank", list(range(1, k + 1)))
-        .agg(F.sum(value))
+        .agg(F.sum("_total"))
         .withColumnsRenamed({str(i): f"top_{i}" for i in range(1, k + 1)})
     )
 

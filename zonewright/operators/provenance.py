@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from zonewright.functions.checks import require_each
@@ -51,18 +51,30 @@ def provenance_rows(
     image_tag: str,
     description: str = "",
     extra: dict[str, str] | None = None,
+    workflow_dag: Column | str | None = None,
+    workflow_dag_simple: Column | str | None = None,
 ) -> DataFrame:
-    """A record per data file of ``info(id, data_type, data_url, path, size, tag[, source_url])``.
+    """A record per data file of ``info(id, data_type, data_url, path, size, tag[, source_url]
+    [, source_metadata_url])``.
 
     A format outside the supported list fails the job. Without a source address
-    the data address stands in for it.
+    the data address stands in for it. The workflow is JSON text, or a column of it such as
+    ``workflow_steps`` of the step log; text that is not JSON fails the job. A record without a workflow
+    or metadata address has nulls there, and its document lacks them.
     """
     kind = F.col("data_type")
     checked = require_each(
         info, kind.isin(DATA_FORMATS), F.concat(F.lit("unsupported data type: "), kind)
     )
     data_url = F.col("data_url")
-    source = F.col("source_url") if "source_url" in info.columns else F.lit(None).cast("string")
+
+    def optional(name: str) -> Column:
+        return F.col(name) if name in info.columns else F.lit(None).cast("string")
+
+    def workflow(value: Column | str | None) -> Column:
+        text = value if isinstance(value, Column) else F.lit(value).cast("string")
+        return F.to_json(F.parse_json(text))
+
     return checked.select(
         "id",
         kind.alias("dataType"),
@@ -74,18 +86,41 @@ def provenance_rows(
         F.lit(image_tag).alias("imageTag"),
         F.concat("path", F.lit(".provenance.json")).alias("provenanceUrl"),
         F.lit(run_time).alias("provenanceUpdated"),
-        F.coalesce(source, data_url).alias("sourceUrl"),
+        workflow(workflow_dag).alias("workflowDag"),
+        workflow(workflow_dag_simple).alias("workflowDagSimple"),
+        F.coalesce(optional("source_url"), data_url).alias("sourceUrl"),
+        optional("source_metadata_url").alias("sourceMetadataUrl"),
         *(F.lit(v).alias(k) for k, v in (extra or {}).items()),
     )
 
 
+def workflow_steps(log: DataFrame) -> Column:
+    """The steps of a log in order, as JSON text for ``provenance_rows``; null for an empty log.
+
+    A log has a row per command someone ran, so it fits one value.
+    """
+    names = [c for c in STEP_SCHEMA.names if c in log.columns and c != "order"]
+    listed = F.sort_array(F.collect_list(F.struct("order", F.struct(*names).alias("step"))))
+    steps = F.to_json(F.transform(listed, lambda s: s["step"]))
+    return log.agg(F.when(F.count("*") > 0, steps).alias("steps")).scalar()
+
+
+def provenance_documents(records: DataFrame) -> DataFrame:
+    """(provenanceUrl, value): each record as one line of JSON, its workflow nested, nulls left out."""
+    fields = [
+        F.parse_json(c).alias(c) if c in ("workflowDag", "workflowDagSimple") else F.col(c)
+        for c in records.columns
+    ]
+    return records.select("provenanceUrl", F.to_json(F.struct(*fields)).alias("value"))
+
+
 def read_provenance(
-    spark: SparkSession, root: str, pattern: str = "*.provenance.json"
+    spark: SparkSession, root: str, pattern: str = "*.provenance.json", lines: bool = False
 ) -> DataFrame:
-    """All provenance documents below ``root``, one per file, as a table of runs."""
+    """All provenance documents below ``root`` as a table of runs, one per file or with ``lines`` one a line."""
     return (
         spark.read.schema(PROVENANCE_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .json(root)

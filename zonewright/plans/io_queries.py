@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from zonewright.functions import geometry as g
 from zonewright.functions.wkb import to_wkb
 from zonewright.operators import provenance
-from zonewright.operators.geometry import with_centroid
+from zonewright.operators.geometry import project_zones, with_centroid
 from zonewright.operators.raster import mosaic
 from zonewright.plans import inputs
 from zonewright.plans.geometry_queries import zone_parts
@@ -68,6 +68,30 @@ def read_binary_geometry(spark, sf_dir):
     )
 
 
+@query(
+    "read_projected_geometry",
+    tables_sql("zone_vertices")
+    + """SELECT zone_id, CAST(COUNT(*) AS INT) AS n_vertices, ROUND(MIN(lon),5) AS west, ROUND(MAX(lat),5) AS north
+    FROM zone_vertices GROUP BY 1""",
+)
+def read_projected_geometry(spark, sf_dir):
+    """Zones stored in metres of EPSG:6933, or every third in degrees, all read back in degrees."""
+    root = scratch_path(spark, "projected")
+    degrees = inputs.zones(spark, sf_dir).select("zone_id", "geometry")
+    third = F.col("zone_id") % 3 == 0
+    metres = project_zones(degrees.filter(~third))
+    both = metres.withColumn("geometry", to_wkb(F.col("geometry"), 6933)).unionByName(
+        degrees.filter(third).withColumn("geometry", to_wkb(F.col("geometry")))
+    )
+    both.write.parquet(root)
+    return tables.read_table(spark, root).select(
+        "zone_id",
+        F.size(F.expr(g.xs("geometry"))).alias("n_vertices"),
+        F.round(F.array_min(F.expr(g.xs("geometry"))), 5).alias("west"),
+        F.round(F.array_max(F.expr(g.ys("geometry"))), 5).alias("north"),
+    )
+
+
 @query(
     "list_files",
     tables_sql("points") + f", {PARTITIONED_SQL} SELECT DISTINCT country_code, s2_code FROM partitioned",
@@ -113,11 +137,8 @@ def scene_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def read_scene_items(spark, sf_dir):
     root = scratch_path(spark, "scenes")
-    documents = scene_documents(spark, sf_dir).select(
-        F.col("id").alias("scene"), F.to_json(F.struct("*")).alias("value")
-    )
-    documents.write.partitionBy("scene").text(root)
-    items = scenes.index_scenes(scenes.read_scene_items(spark, root, "*.txt"))
+    scene_documents(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value")).write.text(root)
+    items = scenes.index_scenes(scenes.read_scene_items(spark, root, "*.txt", lines=True))
     shape = tables.polygons_from_geojson(F.col("geometry.type"), F.col("geometry.coordinates"))
     return items.withColumn("shape", shape).select(
         "id", "collection", "minx", "miny", "maxx", "maxy",
@@ -389,7 +410,9 @@ def tile_pyramid(spark, sf_dir):
 @query(
     "read_provenance",
     """SELECT p_brand||' '||p_type AS id, 'parquet' AS "dataType", CAST(SUM(p_size) AS BIGINT) AS "dataSize",
-    's3://data/'||MIN(p_partkey) AS "dataUrl", 's3://data/'||MIN(p_partkey) AS "sourceUrl" FROM part GROUP BY p_brand, p_type""",
+    's3://data/'||MIN(p_partkey) AS "dataUrl", 's3://data/'||MIN(p_partkey) AS "sourceUrl",
+    's3://data/'||MIN(p_partkey)||'.xml' AS "sourceMetadataUrl", '{"steps":["read","sum"]}' AS "workflowDagSimple"
+    FROM part GROUP BY p_brand, p_type""",
 )
 def read_provenance(spark, sf_dir):
     """One document per brand and type, written side by side and read as a table of runs."""
@@ -404,12 +427,14 @@ def read_provenance(spark, sf_dir):
         url.alias("path"),
         "size",
         F.lit('"tag"').alias("tag"),
+        F.concat(url, F.lit(".xml")).alias("source_metadata_url"),
+    )
+    records = provenance.provenance_rows(
+        info, "2024-01-01T00:00:00Z", "https://code/tree/abc/", "image:1",
+        workflow_dag_simple='{"steps": ["read", "sum"]}',
     )
-    records = provenance.provenance_rows(info, "2024-01-01T00:00:00Z", "https://code/tree/abc/", "image:1")
     root = scratch_path(spark, "provenance")
-    records.select("id", F.to_json(F.struct("*")).alias("value")).withColumnRenamed(
-        "id", "file"
-    ).write.partitionBy("file").text(root)
-    return provenance.read_provenance(spark, root, "*.txt").select(
-        "id", "dataType", "dataSize", "dataUrl", "sourceUrl"
+    provenance.provenance_documents(records).select("value").write.text(root)
+    return provenance.read_provenance(spark, root, "*.txt", lines=True).select(
+        "id", "dataType", "dataSize", "dataUrl", "sourceUrl", "sourceMetadataUrl", "workflowDagSimple"
     )

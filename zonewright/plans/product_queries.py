@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonewright.functions import geometry as g
+from zonewright.functions.wkb import from_wkb, srid_of
 from zonewright.operators import analytics, products, provenance
 from zonewright.plans import inputs
 from zonewright.plans.inputs import tables_sql
@@ -200,6 +201,25 @@ def geometry_outputs(spark, sf_dir):
     )
 
 
+@query(
+    "geometry_outputs_wkb",
+    tables_sql("zone_vertices")
+    + """, rings AS (SELECT zone_id, part, ring, COUNT(*) AS n FROM zone_vertices GROUP BY 1,2,3)
+    SELECT CAST(zone_id AS VARCHAR) AS id, CAST(13+9*COUNT(DISTINCT part)+SUM(4+16*n) AS INT) AS n_bytes,
+    CAST(4326 AS BIGINT) AS srid, CAST(SUM(n) AS INT) AS n_vertices FROM rings GROUP BY 1""",
+)
+def geometry_outputs_wkb(spark, sf_dir):
+    """Zones as base64 of the extended binary form: its length, coordinate system and vertices."""
+    rows = products.geometry_outputs(inputs.zones(spark, sf_dir), form="wkb")
+    blobs = rows.select("id", F.unbase64("geometry").alias("blob"))
+    return blobs.withColumn("shape", from_wkb(F.col("blob"))).select(
+        "id",
+        F.length("blob").alias("n_bytes"),
+        F.expr(srid_of("blob")).alias("srid"),
+        F.size(F.expr(g.xs("shape"))).alias("n_vertices"),
+    )
+
+
 @query(
     "batches",
     """SELECT o_orderkey, CAST(FLOOR((ROW_NUMBER() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey)-1)/50)+1 AS BIGINT) AS batch

@@ -45,12 +45,12 @@ ITEM_SCHEMA = T.StructType(
 
 
 def read_scene_items(
-    spark: SparkSession, root: str, pattern: str = "*.stac-item.json"
+    spark: SparkSession, root: str, pattern: str = "*.stac-item.json", lines: bool = False
 ) -> DataFrame:
-    """All scene documents below ``root``, one per file, with their ``url``."""
+    """All scene documents below ``root`` with the ``url`` of their file, one per file or with ``lines`` one a line."""
     return (
         spark.read.schema(ITEM_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .json(root)

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from zonewright.functions.checks import require_each
+from zonewright.functions.checks import require_each, require_none
 from zonewright.operators.geometry import with_bounds, with_centroid
 
 
@@ -70,8 +70,12 @@ def write_product_json(
 
     Documents of earlier runs stay. One that is stored already is left as it is, or
     with ``overwrite`` replaced; then only the folders of the given times are written anew.
+    One key twice in ``outputs`` fails the job before anything is written.
     """
     spark = outputs.sparkSession
+    named = F.to_json(F.struct(*DOCUMENT_KEY)).alias("key")
+    twice = outputs.groupBy(*DOCUMENT_KEY).count().filter("count > 1").select(named)
+    outputs = require_none(outputs, twice, "documents given twice")
     url = f"{root.rstrip('/')}/{indicator}"
     timed = outputs.withColumn("time", F.col("timePoint"))
     mode = "append"

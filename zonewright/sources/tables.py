@@ -6,15 +6,41 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from zonewright.functions import geometry as g
-from zonewright.functions.wkb import from_wkb
+from zonewright.functions import projection as proj
+from zonewright.functions.wkb import from_wkb, srid_of
 
 _COORDINATES = "array<array<array<double>>>"
 
 
-def read_table(spark: SparkSession, url: str, geometry: str = "geometry") -> DataFrame:
+# Numbers of the systems that are read (0 is "not stated").
+DEGREES, METRES = (0, 4326), 6933
+
+
+def polygons_from_wkb(df: DataFrame, geometry: str = "geometry", srid: int = 4326) -> DataFrame:
+    """A binary geometry column as polygons in degrees.
+
+    Each row's own coordinate system counts, ``srid`` where the binary form names none. Metres of
+    EPSG:6933 are turned into degrees; any other system fails the job.
+    """
+    number = F.coalesce(F.expr(srid_of(f"`{geometry}`")), F.lit(srid))
+    degrees = g.map_vertices("_shape", proj.inverse_x("v.x"), proj.inverse_y("v.y"))
+    unknown = F.concat(F.lit("coordinate system not supported: EPSG:"), F.col("_srid").cast("string"))
+    shape = (
+        F.when(F.col("_shape").isNull() | F.col("_srid").isin(*DEGREES), F.col("_shape"))
+        .when(F.col("_srid") == METRES, F.expr(degrees))
+        .otherwise(F.raise_error(unknown).cast(g.GEOMETRY))
+    )
+    unpacked = df.withColumns({"_srid": number, "_shape": from_wkb(F.col(geometry))})
+    return unpacked.withColumn(geometry, shape).drop("_srid", "_shape")
+
+
+def read_table(
+    spark: SparkSession, url: str, geometry: str = "geometry", srid: int = 4326
+) -> DataFrame:
     """Parquet, else GeoJSON, by suffix; a folder is read as Parquet.
 
-    A binary geometry column, as GeoParquet has it, is unpacked to polygons.
+    A binary geometry column, as GeoParquet has it, is unpacked to polygons in degrees. GeoParquet
+    names its coordinate system in the footer, which Spark does not show: ``srid`` states it.
     """
     lowered = url.rstrip("/").lower()
     if lowered.endswith((".geojson", ".json")):
@@ -23,7 +49,7 @@ def read_table(spark: SparkSession, url: str, geometry: str = "geometry") -> Dat
     if "." not in name or name.endswith(".parquet"):
         stored = spark.read.parquet(url)
         if geometry in stored.columns and stored.schema[geometry].dataType == T.BinaryType():
-            return stored.withColumn(geometry, from_wkb(F.col(geometry)))
+            return polygons_from_wkb(stored, geometry, srid)
         return stored
     raise ValueError(f"no reader for {url}")
 
