@@ -109,3 +109,27 @@ def test_attach_values_keeps_zones_without_value(spark):
     values = spark.createDataFrame([(1, 2019, 5.0), (1, 2020, 1234.567)], "zone_id bigint, year int, value double")
     rows = joins.attach_values(names, values).collect()
     assert [(r["zone_id"], r["value_label"]) for r in rows] == [(1, "1,234.57 km²"), (2, None)]
+
+
+@pytest.mark.parametrize("limit", SIZES)
+def test_points_among_many_overlapping_zones_stream_past_the_edges(spark, limit):
+    rng = random.Random(3)
+    shapes = {i: [[box(0.1 * i - 2, 0.2, 0.1 * i, 1.9)]] for i in range(40)}
+    shapes[40] = [[box(-5, -5, 9, 9), box(1, 1, 2, 2)]]
+    points = [(i % 90, rng.uniform(-3, 5), rng.uniform(-1, 3)) for i in range(200)] + [(None, 1.0, 1.0)] * 2
+    frame = spark.createDataFrame(points, "point_id int, lon double, lat double")
+    hits = joins.spatial_join_points(frame, zones(spark, shapes), ["zone_id"], ["point_id"], broadcast_bytes=limit)
+    assert "MapInArrow" in hits._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(str, (tuple(r) for r in hits.select("point_id", "zone_id").collect())))
+    assert got == sorted(str((i, z)) for i, x, y in points for z, s in shapes.items() if covers(s, x, y))
+
+
+def test_features_of_a_wide_zone_are_spread(spark):
+    shapes = zones(spark, {1: [[box(-50, -50, 50, 50)]], 2: [[box(0, 0, 1, 1)]]})
+    features = spark.range(3000).select(
+        F.col("id").alias("feature_id"), (F.col("id") % 97 - 48.5).alias("x"), (F.col("id") % 89 - 44.5).alias("y")
+    ).selectExpr("feature_id", f"{joins.g.rectangle('x', 'y', 'x + 0.1', 'y + 0.1')} AS geometry")
+    pairs = joins.spatial_join_polygons(features, shapes, ["feature_id"])
+    assert "MapInArrow" in pairs._jdf.queryExecution().executedPlan().toString()
+    tasks = pairs.filter("zone_id = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert pairs.filter("zone_id = 1").count() == 3000 and tasks > 1
