@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -163,3 +164,20 @@ def test_tile_pyramid(spark):
     assert sorted(r["zone_id"] for r in kept.filter("z = 0").collect()) == [7, 8, 9]
     poles = zones(spark, {1: [[box(-180, -90, 180, 90)]]}).withColumn("area", F.lit(1.0))
     assert sinks.tile_pyramid(poles, "zone_id", zmax=2).filter("z = 2").count() == 16
+
+
+def test_pyramid_rows_go_up_once_and_only_if_kept_below(spark):
+    rng = random.Random(4)
+    shapes_of = {i: [[box(x, y, x + w, y + w)]] for i in range(90) for x, y, w in [(rng.uniform(-170, 150), rng.uniform(-70, 60), rng.choice([0.5, 9.0]))]}
+    df = zones(spark, shapes_of).withColumn("area", (F.col("zone_id") % 7).cast("double"))
+    df = df.unionByName(df.filter("zone_id < 5"))  # keys that repeat
+    every = {}
+    for r in sinks.tile_pyramid(df, "zone_id", zmax=3).collect():
+        every.setdefault((r.z, r.tile_x, r.tile_y), []).append((-r.area, r.zone_id))
+    kept = sinks.tile_pyramid(df, "zone_id", zmax=3, keep_per_tile=4, salts=3)
+    got = {}
+    for r in kept.collect():
+        got.setdefault((r.z, r.tile_x, r.tile_y), []).append((-r.area, r.zone_id))
+    assert {t: sorted(v) for t, v in got.items()} == {t: sorted(v)[:4] for t, v in every.items()}
+    # no window reads rows of more than the deepest zoom from the table
+    assert "RDD" in kept._jdf.queryExecution().optimizedPlan().toString()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from zonewright.functions.checks import require_each, require_none
 from zonewright.operators.geometry import with_bounds, with_centroid
+from zonewright.session import stored
 
 
 def path_exists(spark: SparkSession, url: str) -> bool:
@@ -137,8 +138,9 @@ def tile_pyramid(
     """Map-display table: (z, tile_x, tile_y, key) for every tile a feature's bounds meet.
 
     Web Mercator tiles. With ``keep_per_tile`` dense tiles keep the highest
-    ``rank`` only; tiles are thinned in salted groups first, so the single tile
-    of zoom 0 never gathers all features.
+    ``rank`` only; tiles are thinned in salted groups first, so that no single tile gathers all
+    features. What is among the first of a tile is among the first of a tile of the deepest zoom
+    inside it too, so tiles of that zoom are thinned first, and only what they keep goes further up.
     """
     limit = math.degrees(math.atan(math.sinh(math.pi)))
 
@@ -150,29 +152,47 @@ def tile_pyramid(
         share = (1 - F.log(F.tan(angle) + 1 / F.cos(angle)) / math.pi) / 2
         return F.least(F.greatest(F.floor(share * n), F.lit(0)), n - 1).cast("int")
 
+    lowest = 0 if keep_per_tile is None else zmax
     n = F.pow(F.lit(2.0), F.col("z"))
     tiles = (
         with_bounds(features)
-        .select(key, rank, "minx", "miny", "maxx", "maxy", F.explode(F.sequence(F.lit(0), F.lit(zmax))).alias("z"))
+        .withColumn("_row", F.monotonically_increasing_id())
+        .select(
+            "_row", key, rank, "minx", "miny", "maxx", "maxy",
+            F.explode(F.sequence(F.lit(lowest), F.lit(zmax))).alias("z"),
+        )
         .withColumn(
             "tile_x", F.explode(F.sequence(column_of(F.col("minx"), n), column_of(F.col("maxx"), n)))
         )
         .withColumn(
             "tile_y", F.explode(F.sequence(row_of(F.col("maxy"), n), row_of(F.col("miny"), n)))
         )
-        .select("z", "tile_x", "tile_y", key, rank)
-    )
+        .select("z", "tile_x", "tile_y", "_row", key, rank)
+    )
     if keep_per_tile is None:
-        return tiles
+        return tiles.drop("_row")
     tile = ["z", "tile_x", "tile_y"]
     order = [F.col(rank).desc_nulls_last(), F.col(key)]
-    salted = tiles.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
     first = Window.partitionBy(*tile, "_salt").orderBy(*order)
     last = Window.partitionBy(*tile).orderBy(*order)
-    return (
-        salted.withColumn("_r", F.row_number().over(first))
-        .filter(F.col("_r") <= keep_per_tile)
-        .withColumn("_r", F.row_number().over(last))
-        .filter(F.col("_r") <= keep_per_tile)
-        .drop("_r", "_salt")
+
+    def thinned(rows: DataFrame) -> DataFrame:
+        return (
+            rows.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)))
+            .withColumn("_r", F.row_number().over(first))
+            .filter(F.col("_r") <= keep_per_tile)
+            .withColumn("_r", F.row_number().over(last))
+            .filter(F.col("_r") <= keep_per_tile)
+            .drop("_r", "_salt")
+        )
+
+    deepest = stored(thinned(tiles))
+    if zmax == 0:
+        return deepest.drop("_row")
+    # by numbers, not keys: rows may be alike, and each counts once in a tile
+    above = (
+        deepest.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(zmax - 1))))
+        .withColumns({c: F.expr(f"shiftright({c}, {zmax} - z)") for c in ("tile_x", "tile_y")})
+        .dropDuplicates([*tile, "_row"])
     )
+    return deepest.unionByName(thinned(above)).drop("_row")
