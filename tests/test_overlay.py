@@ -123,3 +123,27 @@ def test_empty_sides(spark):
     assert overlay.meeting_pairs(other, box.filter("false")).collect() == []
     assert overlay.meeting_pairs(other.filter("false"), box).collect() == []
     assert overlay.overlap_areas(other, box.filter("false")).collect() == []
+
+
+def test_long_outlines_meet_as_short_ones_and_pairs_are_no_edge_tables(spark):
+    import random
+
+    rng = random.Random(11)
+    features = {}
+    for i in range(150):
+        x, y, h = rng.uniform(-10, 10), rng.uniform(-10, 10), rng.choice([0.05, 0.5, 3.0])
+        features[i] = [[shapes.ring((x - h, y), (x, y - h), (x + h, y), (x, y + h))]]
+    steps = [k / 100 for k in range(1200)]
+    corners = [(-6, -6), (6, -6), (6, 6), (-6, 6), (-6, -6)]
+    drawn = [
+        (a[0] + (b[0] - a[0]) * t / 12, a[1] + (b[1] - a[1]) * t / 12)
+        for a, b in zip(corners, corners[1:]) for t in steps
+    ]
+    left = shapes.zones(spark, features, "feature_id")
+    hole = shapes.box(-2, -2, 2, 2)
+    got = {}
+    for name, ring in (("long", shapes.ring(*drawn)), ("short", shapes.box(-6, -6, 6, 6))):
+        pairs = overlay.meeting_pairs(left, shapes.zones(spark, {1: [[ring, hole]]}))
+        assert "MapInArrow" in pairs._jdf.queryExecution().executedPlan().toString()
+        got[name] = sorted(r.feature_id for r in pairs.collect())
+    assert got["long"] == got["short"] and 20 < len(got["long"]) < 150
