@@ -7,6 +7,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import shapes
 from zonewright.operators import joins, overlay
 
@@ -126,8 +128,6 @@ def test_empty_sides(spark):
 
 
 def test_long_outlines_meet_as_short_ones_and_pairs_are_no_edge_tables(spark):
-    import random
-
     rng = random.Random(11)
     features = {}
     for i in range(150):
@@ -147,3 +147,19 @@ def test_long_outlines_meet_as_short_ones_and_pairs_are_no_edge_tables(spark):
         assert "MapInArrow" in pairs._jdf.queryExecution().executedPlan().toString()
         got[name] = sorted(r.feature_id for r in pairs.collect())
     assert got["long"] == got["short"] and 20 < len(got["long"]) < 150
+
+
+def test_pairs_of_one_input_task_are_summed_by_many(spark, monkeypatch):
+    kept = {}
+    written = overlay.written
+
+    def noted(df, name):
+        kept[name] = written(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(overlay, "written", noted)
+    features = shapes.zones(spark, {k: [[shapes.box(k, 0, k + 2, 2)]] for k in range(40)}, "feature_id").coalesce(1)
+    areas = overlay.overlap_areas(features, shapes.zones(spark, {1: [[shapes.box(0, 0, 30, 1)]]}), cell=5.0)
+    assert areas.filter("overlap > 0").count() == 30
+    files = kept["box-pairs"].select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 1
