@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import struct
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -62,6 +64,49 @@ def test_columns_in_parts_equal_the_library(library, monkeypatch, window, longes
             assert ids[begin:end].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def counted(limit):
+    """An encoder by code points, and the pieces it was asked for."""
+    asked = []
+
+    def compute(found):
+        asked.extend(found)
+        return [struct.pack(f"<{len(p)}I", *map(ord, p)) for p in found]
+
+    return pieces.PieceEncoder(compute, limit=limit), asked
+
+
+def points(texts):
+    return [ord(c) for t in texts for c in t]
+
+
+def test_a_piece_met_once_is_not_computed_again():
+    encoder, asked = counted(1 << 20)
+    for _ in range(2):
+        assert encoder.encode_column(pa.array(["one two three"]))[0].tolist() == points(["one two three"])
+    assert asked == ["one", " two", " three"]
+
+
+def test_pieces_met_again_outlast_the_limit():
+    encoder, asked = counted(1 << 16)
+    for k in range(300):
+        rows = ["often met", " ".join(f"{k}x{n}" for n in range(40))]
+        assert encoder.encode_column(pa.array(rows))[0].tolist() == points(rows)
+        assert encoder.memory.held() <= encoder.limit
+    assert asked.count("often") == asked.count(" met") == 1
+    assert encoder.memory.pieces < 300 * 40
+
+
+def test_pieces_with_equal_hashes_keep_their_own_ids(monkeypatch):
+    real = pieces.piece_hashes
+    monkeypatch.setattr(pieces, "piece_hashes", lambda *a: real(*a) & np.uint64(3))
+    encoder, _ = counted(1 << 20)
+    rows = ["a b c d e f", "a longer word, and a longer ward", "a\0 a b\0\0 b", ""]
+    for _ in range(2):
+        ids, offsets = encoder.encode_column(pa.array(rows))
+        assert ids.tolist() == points(rows)
+        assert np.diff(offsets).tolist() == list(map(len, rows))
+
+
 def test_transducer_holds_a_window_only():
     table = bpe.merge_table(PATH)
     machine, got = bpe.Transducer(table), []

@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from zonewright.llm.textkernel import mix, text_buffer, weights
+from zonewright.llm.textkernel import mix, text_buffer
 
 #: ASCII characters that some pre-tokenizer counts as white space.
 _SPACES = np.zeros(256, bool)
@@ -30,9 +30,9 @@ _MARKS[[ord(c) for c in ".,;:!?%*#$&()\"/"]] = True
 
 #: Bytes that are cut at a time, and the longest piece that is looked up by its hash.
 WINDOW, LONGEST = 2 << 20, 256
-#: Places of the marks that tell whether a piece was met before.
-MET = 1 << 21
-_WEIGHTS, _LENGTH = weights(LONGEST, 5), np.uint64(0xD6E8FEB86659FD93)
+_LENGTH = np.uint64(0xD6E8FEB86659FD93)
+#: What is left of eight bytes when only the first k count.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -57,36 +57,143 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
-def distinct_pieces(
-    data: np.ndarray, begin: np.ndarray, size: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pieces of bytes that are all pieces, one after the other.
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of an array on, as one number."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
 
-    Their hashes, first occurrences and counts, the number of each piece's own, and which pieces differ
-    from the one with their hash.
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts[k]`` numbers from ``starts[k]`` on, for every k."""
+    after = np.cumsum(counts)
+    return np.arange(after[-1] if len(after) else 0) + np.repeat(starts - after + counts, counts)
+
+
+def _room(array: np.ndarray, need: int, fill: int = 0) -> np.ndarray:
+    """The array, or a copy of it half as long again that has room for ``need``."""
+    if need <= len(array):
+        return array
+    wider = np.full(max(need, len(array) * 3 // 2), fill, array.dtype)
+    wider[: len(array)] = array
+    return wider
+
+
+def piece_hashes(eights: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each piece's bytes."""
+    value = eights[begin] & _FIRST[np.minimum(size, 8)]
+    hashes = mix(value ^ size.astype(np.uint64) * _LENGTH)
+    at, rest = 8, np.flatnonzero(size > 8)
+    while len(rest):
+        value = eights[begin[rest] + at] & _FIRST[np.minimum(size[rest] - at, 8)]
+        hashes[rest] = mix(hashes[rest] * _LENGTH + value)
+        at += 8
+        rest = rest[size[rest] > at]
+    return hashes
+
+
+class PieceMemory:
+    """Bytes and token ids of pieces met before, found for many pieces at once.
+
+    A table of places, probed one after the other, leads from a hash to the piece with it. All
+    stands in a few arrays, so a piece takes its own bytes and ids and some 60 bytes more.
     """
-    place = np.arange(len(data), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
-    value = (data.astype(np.uint64) + np.uint64(1)) * _WEIGHTS[place]
-    hashes = mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * _LENGTH)
-    found, first, same, counts = np.unique(
-        hashes, return_index=True, return_inverse=True, return_counts=True
-    )
-    lead = first[same]
-    unlike = size != size[lead]
-    # equal hashes are compared byte by byte
-    ahead = np.where(unlike, begin, begin[lead]).astype(np.int32)
-    wrong = np.flatnonzero(data != data[place + np.repeat(ahead, size)])
-    if len(wrong):
-        unlike[np.searchsorted(begin, wrong, "right") - 1] = True
-    return found, first, counts, same, unlike
+
+    def __init__(self):
+        self.pieces = self.bytes = self.tokens = 0
+        self.table = np.full(1 << 12, -1, np.int32)
+        self.hashes = np.zeros(1 << 10, np.uint64)
+        self.begin, self.first = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self.size, self.count = np.zeros(1 << 10, np.int32), np.zeros(1 << 10, np.int32)
+        self.again = np.zeros(1 << 10, bool)
+        self.data, self.ids = np.zeros(1 << 14, np.uint8), np.zeros(1 << 12, "<u4")
+
+    def held(self) -> int:
+        """Bytes in use."""
+        return 37 * self.pieces + self.bytes + 4 * self.tokens + self.table.nbytes
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of the piece with each hash, or -1."""
+        last = np.uint64(len(self.table) - 1)
+        slot = (hashes & last).astype(np.int64)
+        found = self.table[slot]
+        other = np.flatnonzero((found >= 0) & (self.hashes[found] != hashes))
+        while len(other):
+            slot[other] = (slot[other] + 1) & int(last)
+            found[other] = self.table[slot[other]]
+            other = other[(found[other] >= 0) & (self.hashes[found[other]] != hashes[other])]
+        return found
+
+    def _enter(self, start: int) -> None:
+        """Puts the pieces from number ``start`` on in the table, which stays half empty."""
+        if 2 * self.pieces > len(self.table):
+            self.table = np.full(1 << (4 * self.pieces - 1).bit_length(), -1, np.int32)
+            start = 0
+        number = np.arange(start, self.pieces, dtype=np.int32)
+        last = np.uint64(len(self.table) - 1)
+        slot = (self.hashes[start : self.pieces] & last).astype(np.int64)
+        while len(number):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = number[free]
+            # several may have taken one free place: the last of them has it
+            lost = self.table[slot] != number
+            number, slot = number[lost], (slot[lost] + 1) & int(last)
+
+    def add(self, hashes: np.ndarray, pieces: list[bytes], tokens: list[bytes]) -> None:
+        """Pieces whose hashes differ from each other and from all that are held."""
+        n, m = self.pieces, self.pieces + len(pieces)
+        raw, flat = np.frombuffer(b"".join(pieces), np.uint8), np.frombuffer(b"".join(tokens), "<u4")
+        size, count = np.array(list(map(len, pieces))), np.array(list(map(len, tokens))) // 4
+        for name in ("hashes", "begin", "first", "size", "count", "again"):
+            setattr(self, name, _room(getattr(self, name), m))
+        # eight bytes can be read from every place of a piece of any length
+        self.data = _room(self.data, self.bytes + len(raw) + LONGEST + 8)
+        self.ids = _room(self.ids, self.tokens + len(flat))
+        self.hashes[n:m], self.size[n:m], self.count[n:m], self.again[n:m] = hashes, size, count, False
+        self.begin[n:m] = self.bytes + np.cumsum(size) - size
+        self.first[n:m] = self.tokens + np.cumsum(count) - count
+        self.data[self.bytes : self.bytes + len(raw)] = raw
+        self.ids[self.tokens : self.tokens + len(flat)] = flat
+        self.pieces, self.bytes, self.tokens = m, self.bytes + len(raw), self.tokens + len(flat)
+        self._enter(n)
+
+    def unlike(
+        self, eights: np.ndarray, begin: np.ndarray, size: np.ndarray, found: np.ndarray
+    ) -> np.ndarray:
+        """Which pieces differ from the one found, byte by byte."""
+        own, first = _eights(self.data), self.begin[found]
+        unlike = size != self.size[found]
+        unlike |= ((eights[begin] ^ own[first]) & _FIRST[np.minimum(size, 8)]) != 0
+        at, rest = 8, np.flatnonzero((size > 8) & ~unlike)
+        while len(rest):
+            left = _FIRST[np.minimum(size[rest] - at, 8)]
+            wrong = ((eights[begin[rest] + at] ^ own[first[rest] + at]) & left) != 0
+            unlike[rest[wrong]] = True
+            at += 8
+            rest = rest[(size[rest] > at) & ~wrong]
+        return unlike
+
+    def trimmed(self, limit: int) -> PieceMemory:
+        """What was met again; nothing if that takes more than half of ``limit``."""
+        kept, out = np.flatnonzero(self.again[: self.pieces]), PieceMemory()
+        size, count = self.size[kept], self.count[kept]
+        if 53 * len(kept) + int(size.sum()) + 4 * int(count.sum()) > limit // 2:
+            return out
+        data = self.data[_runs(self.begin[kept], size)].tobytes()
+        ids = self.ids[_runs(self.first[kept], count)].tobytes()
+        ends, stops = np.cumsum(size).tolist(), (4 * np.cumsum(count)).tolist()
+        out.add(
+            self.hashes[kept],
+            [data[x:y] for x, y in zip([0, *ends], ends)],
+            [ids[x:y] for x, y in zip([0, *stops], stops)],
+        )
+        return out
 
 
 class PieceEncoder:
     """Token ids of whole texts, piece by piece.
 
     ``compute`` tokenizes many pieces at once and gives little-endian 32-bit numbers; ``stream``
-    does one long piece. Results are kept by piece up to about ``limit`` bytes, then forgotten.
-    A piece that was met only once yet is not kept.
+    does one long piece. Results are kept by piece up to about ``limit`` bytes; beyond, those that
+    were met once only are forgotten.
     """
 
     def __init__(
@@ -97,29 +204,26 @@ class PieceEncoder:
     ):
         self.compute, self.limit = compute, limit
         self.stream = stream or (lambda piece: compute([piece])[0])
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
-        self.met = np.zeros(MET, bool)
-
-    def _tokens(self, pieces: list[bytes], hashes: np.ndarray, counts: np.ndarray) -> list[bytes]:
-        found = list(map(self.known.get, pieces))
-        missing = [k for k, tokens in enumerate(found) if tokens is None]
-        if missing:
-            fresh = [pieces[k] for k in missing]
-            made = self.compute([p.decode() for p in fresh])
-            for k, tokens in zip(missing, made):
-                found[k] = tokens
-            slot = (hashes[missing] % np.uint64(MET)).astype(np.int64)
-            again = np.flatnonzero(self.met[slot] | (counts[missing] > 1)).tolist()
-            self.met[slot] = True
-            size = 3 * sum(len(fresh[k]) for k in again) + 200 * len(again)
-            if self.held + size > self.limit:
-                self.known.clear()
-                self.met[:] = False
-                self.held = 0
-            self.known.update((fresh[k], made[k]) for k in again)
-            self.held += size
-        return found
+        self.memory = PieceMemory()
+
+    def _numbers(
+        self, data: np.ndarray, begin: np.ndarray, size: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each piece in the memory, and which differ from the piece there."""
+        memory, eights = self.memory, _eights(data)
+        hashes = piece_hashes(eights, begin, size)
+        found = memory.find(hashes)
+        new = np.flatnonzero(found < 0)
+        memory.again[found[found >= 0]] = True
+        if len(new):
+            _, lead = np.unique(hashes[new], return_index=True)
+            lead = new[np.sort(lead)]
+            raw = data.tobytes()
+            spans = zip(begin[lead].tolist(), (begin[lead] + size[lead]).tolist())
+            pieces = [raw[x:y] for x, y in spans]
+            memory.add(hashes[lead], pieces, self.compute([p.decode() for p in pieces]))
+            found[new] = memory.find(hashes[new])
+        return found, memory.unlike(eights, begin, size, found)
 
     def _window(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a window and where each text's ids start."""
@@ -127,29 +231,26 @@ class PieceEncoder:
         if not len(begin):
             return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
         size = np.diff(np.append(begin, len(data)))
-        long = size > LONGEST
-        which = np.zeros(len(begin), np.int64)
-        tokens: list[bytes] = []
-        if not long.all():
-            short = np.flatnonzero(~long)
-            kept = data[np.repeat(~long, size)] if long.any() else data
-            b = np.cumsum(size[short]) - size[short]
-            hashes, first, counts, same, unlike = distinct_pieces(kept, b, size[short])
-            raw = kept.tobytes()
-            spans = zip(b[first].tolist(), (b + size[short])[first].tolist())
-            tokens = self._tokens([raw[x:y] for x, y in spans], hashes, counts)
-            which[short] = same
-            long[short[unlike]] = True
-        for k in np.flatnonzero(long).tolist():
-            which[k] = len(tokens)
-            tokens.append(self.stream(data[begin[k] : begin[k] + size[k]].tobytes().decode()))
-        flat = np.frombuffer(b"".join(tokens), "<u4")
-        length = np.array([len(t) for t in tokens]) // 4
-        starts = np.cumsum(length) - length
-        counts = length[which]
+        alone = size > LONGEST
+        short = np.flatnonzero(~alone)
+        first, counts = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+        if len(short):
+            padded = np.concatenate([data, np.zeros(8, np.uint8)])
+            found, unlike = self._numbers(padded, begin[short], size[short])
+            first[short], counts[short] = self.memory.first[found], self.memory.count[found]
+            alone[short[unlike]] = True
+        single = {}
+        for k in np.flatnonzero(alone).tolist():
+            piece = data[begin[k] : begin[k] + size[k]].tobytes().decode()
+            single[k] = np.frombuffer(self.stream(piece), "<u4")
+            first[k], counts[k] = 0, len(single[k])
         after = np.concatenate([[0], np.cumsum(counts)])
-        source = np.arange(after[-1]) + np.repeat(starts[which] - after[:-1], counts)
-        return flat[source], after[np.searchsorted(begin, offsets)]
+        ids = self.memory.ids.take(_runs(first, counts), mode="clip")
+        for k, tokens in single.items():
+            ids[after[k] : after[k + 1]] = tokens
+        if self.memory.held() > self.limit:
+            self.memory = self.memory.trimmed(self.limit)
+        return ids, after[np.searchsorted(begin, offsets)]
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, and the offsets of each text's ids."""

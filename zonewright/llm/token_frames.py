@@ -148,8 +148,11 @@ def _tokenizer(path: str):
 
 
 @lru_cache(maxsize=1)
-def library_encoder(path: str) -> PieceEncoder:
-    """Ids by the tokenizers library; one per Python worker, which remembers a bounded number of bytes."""
+def library_encoder(path: str, run: str = "") -> PieceEncoder:
+    """Ids by the tokenizers library; one per Python worker, which remembers a bounded number of bytes.
+
+    The tasks of one ``run`` share what a worker remembers; another run starts with nothing.
+    """
     tokenizer = _tokenizer(path)
 
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
@@ -192,7 +195,7 @@ def _write_files(
         first = next(rows, None)
         if first is None:
             return
-        encoder = library_encoder(vocabulary)
+        encoder = library_encoder(vocabulary, folder)
         files, path, address, number = task_file(folder, "tokens", ".zst")
         with files.open_output_stream(path, compression=None) as sink:
             writer = FrameWriter(sink)
