@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from zonewright.operators import indicators, joins
 from zonewright.operators.geometry import zone_pieces
 from zonewright.plans import inputs
-from zonewright.plans.geometry_queries import RUNS_SQL, overlap_sql, runs, zone_parts
+from zonewright.plans.geometry_queries import RUNS_SQL, overlap_sql, runs, spread_parts, zone_parts
 from zonewright.plans.inputs import tables_sql
 from zonewright.plans.raster_queries import cells, parts_m, pieces_m
 from zonewright.plans.registry import query
@@ -63,7 +63,7 @@ def spatial_join_points_shuffled(spark, sf_dir):
 )
 def spatial_join_polygons(spark, sf_dir):
     pairs = joins.spatial_join_polygons(
-        inputs.features(spark, sf_dir), zone_parts(spark, sf_dir), ["feature_id"]
+        inputs.features(spark, sf_dir), spread_parts(spark, sf_dir), ["feature_id"]
     )
     return pairs.select("feature_id", "zone_id", "part")
 
@@ -74,7 +74,7 @@ def spatial_join_polygons(spark, sf_dir):
 )
 def spatial_join_polygons_shuffled(spark, sf_dir):
     pairs = joins.spatial_join_polygons(
-        inputs.features(spark, sf_dir), zone_parts(spark, sf_dir), ["feature_id"], broadcast_bytes=0
+        inputs.features(spark, sf_dir), spread_parts(spark, sf_dir), ["feature_id"], broadcast_bytes=0
     )
     return pairs.select("feature_id", "zone_id", "part")
 
@@ -248,7 +248,7 @@ def sum_area_raster(spark, sf_dir):
 )
 def sum_area_vector(spark, sf_dir):
     # whole parts stand for pieces here; the tiled form is checked by brute force in the tests
-    parts = zone_parts(spark, sf_dir).withColumn("tile", F.lit(0))
+    parts = spread_parts(spark, sf_dir).withColumn("tile", F.lit(0))
     features = inputs.features(spark, sf_dir)
     per_piece = indicators.sum_area_vector(features, parts, ["feature_id"])
     once = indicators.sum_area_vector(features, parts, ["feature_id"], dedupe=True)
