@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import shapes
 from zonewright.functions import geometry as g
-from zonewright.operators import joins, kernels
+from zonewright.operators import indicators, joins, kernels
+from zonewright.operators.geometry import with_area_m2
 
 
 def lattice(rng, n, size):
@@ -88,3 +89,39 @@ def test_features_without_whole_finite_bounds_meet_nothing(spark):
     left, right = shapes.zones(spark, odd, "feature_id"), shapes.zones(spark, odd)
     pairs = joins.spatial_join_polygons(left, right, ["feature_id"]).collect()
     assert [tuple(r) for r in pairs] == [(6, 6)]
+
+
+def test_a_key_meets_a_zone_once_wherever_its_rows_and_pieces_lie(spark, monkeypatch):
+    rng = random.Random(8)
+    features, zones = lattice(rng, 300, [0.25, 2.0])
+    left = shapes.zones(spark, features, "n").selectExpr(
+        "if(n % 7 = 0, null, n % 90) AS feature_id", "if(n % 3 = 0, null, n % 2) AS asset", "geometry"
+    )
+    right = shapes.zones(spark, zones).selectExpr(
+        "if(zone_id % 5 = 0, null, zone_id % 9) AS zone_id", "if(zone_id % 4 = 0, double('nan'), 1) AS kind", "zone_id AS part", "geometry"
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        once = (["feature_id", "asset"], ["zone_id", "kind"])
+        got = joins.spatial_join_polygons(left, right, ["feature_id"], once=once)
+        columns = [*once[0], *once[1]]
+        found = sorted(map(str, got.select(*columns).collect()))
+        pairs = joins.spatial_join_polygons(left, right, ["feature_id"]).select(*columns)
+        assert found == sorted(map(str, pairs.distinct().collect())) and pairs.count() > 2 * len(found)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_areas_once_per_zone_shuffle_no_pairs(spark):
+    features = shapes.zones(spark, {k: [[shapes.box(k / 99, 0, k / 99 + 1, 1)]] for k in range(200)}, "feature_id")
+    pieces = shapes.zones(spark, {k: [[shapes.box(-1, -1, 4 + k / 100, 3)]] for k in range(60)}, "k").selectExpr(
+        "k % 20 AS zone_id", "k AS part", "0 AS tile", "geometry"
+    )
+    sums = indicators.sum_area_vector(features, pieces, ["feature_id"], dedupe=True)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    # between the test and the sums, only what each task has added up already
+    after = plan[: plan.index("MapInArrow")]
+    assert after.count("Exchange") == 1 and "feature_id" not in after[after.index("Exchange") : after.rindex("HashAggregate")]
+    whole = {r["feature_id"]: r["a"] for r in with_area_m2(features, name="a").collect()}
+    rows = sums.collect()
+    assert len(rows) == 20 and all(r["area_m2"] == pytest.approx(sum(whole.values()), abs=0.01) for r in rows)

@@ -179,11 +179,10 @@ def sum_area_vector(
     measured = with_area_m2(features).select(*feature_key, "area_m2", "geometry")
     pairs = spatial_join_polygons(
         measured, pieces.select(*PIECE, "geometry"), feature_key, cell=cell,
-        broadcast_bytes=broadcast_bytes,
+        broadcast_bytes=broadcast_bytes, once=(feature_key, ["zone_id"]) if dedupe else None,
     )
     if dedupe:
-        once = pairs.groupBy("zone_id", *feature_key).agg(F.first("area_m2").alias("area_m2"))
-        per_piece = once.groupBy("zone_id").agg(F.sum("area_m2").alias("_a"))
+        per_piece = pairs.groupBy("zone_id").agg(F.sum("area_m2").alias("_a"))
     else:
         per_piece = pairs.groupBy(*PIECE).agg(F.sum("area_m2").alias("_a"))
     return _sum_rounded(per_piece, F.col("_a"), [])
@@ -306,10 +305,10 @@ def _feature_areas(
     """(zone_id, asset, area_m2): whole area of the features that meet the pieces of a zone."""
     measured = with_area_m2(features).select(*feature_key, "asset", "area_m2", "geometry")
     pairs = spatial_join_polygons(
-        measured, pieces.select(*PIECE, "geometry"), feature_key, cell=cell, broadcast_bytes=broadcast_bytes
+        measured, pieces.select(*PIECE, "geometry"), feature_key, cell=cell, broadcast_bytes=broadcast_bytes,
+        once=(["asset", *feature_key], ["zone_id"]) if dedupe else None,
     )
     if dedupe:
-        pairs = pairs.groupBy("zone_id", "asset", *feature_key).agg(F.first("area_m2").alias("area_m2"))
         per_piece = pairs.groupBy("zone_id", "asset").agg(F.sum("area_m2").alias("_a"))
     else:
         per_piece = pairs.groupBy(*PIECE, "asset").agg(F.sum("area_m2").alias("_a"))

@@ -138,11 +138,13 @@ def _place(cell: float, signed: bool, extra: list[str], whole: bool) -> Callable
             place = [level, *(np.floor(box[:, c] / step).astype(np.int32) for c in (0, 1))]
             columns = [batch.column(c).take(pa.array(kept)) for c in extra] + [pa.array(c) for c in (*place, wide)]
             names = [*extra, *ON, "__wide"]
+            columns.append(_list(box, np.arange(len(kept) + 1)))
+            names.append("__box")
             if whole:
                 edges, of = of_rows(shapes.edges[:, :width], shapes.of, kept)
                 starts, at = of_rows(shapes.starts, shapes.at, kept)
-                columns += [_list(box, np.arange(len(kept) + 1)), _list(edges, of), _list(starts, at)]
-                names += ["__box", "__edges", "__starts"]
+                columns += [_list(edges, of), _list(starts, at)]
+                names += ["__edges", "__starts"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -165,9 +167,8 @@ def place(features: DataFrame, shape: Column, extra: list[Column], cell: float,
     """``extra`` of the features, with bounds, edges, starts, and the square they lie in; others are dropped."""
     given = features.select(*extra, shape.alias("__shape"))
     names = given.columns[:-1]
-    made = "__lv int, __cx int, __cy int, __wide double" + (
-        ", __box array<double>, __edges array<double>, __starts array<double>" if whole else ""
-    )
+    made = "__lv int, __cx int, __cy int, __wide double, __box array<double>"
+    made += ", __edges array<double>, __starts array<double>" if whole else ""
     schema = StructType([StructField(c, given.schema[c].dataType) for c in names] + list(StructType.fromDDL(made)))
     return given.mapInArrow(_place(cell, signed, names, whole), schema)
 
@@ -548,7 +549,8 @@ def meeting(
         bounded = place(spread, shape, [row, *own, F.monotonically_increasing_id().alias("__key")], cell, False)
         ends = [f(F.col("__box")[n]) for n, f in enumerate((F.min, F.min, F.max, F.max))]
         whole = F.struct(*(v.alias(c) for c, v in zip(_ENDS, ends))).alias("__whole")
-        alike = bounded.groupBy(*names).agg(whole, F.count("*").alias("__n"))
+        alike = place(features, shape, own, cell, False, whole=False)
+        alike = alike.groupBy(*names).agg(whole, F.count("*").alias("__n"))
         per = per_square(squared(alike, cell), "sum(__n)")
         same = Window.partitionBy(*names)
         over = F.struct(*(v.over(same).alias(c) for c, v in zip(_ENDS, ends)))
