@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import shapes
 from zonewright.functions import geometry as g
-from zonewright.operators import indicators, joins, kernels
+from test_overlay import clipped_area
+from zonewright.operators import indicators, joins, kernels, overlay
 from zonewright.operators.geometry import with_area_m2
 
 
@@ -125,3 +126,29 @@ def test_areas_once_per_zone_shuffle_no_pairs(spark):
     whole = {r["feature_id"]: r["a"] for r in with_area_m2(features, name="a").collect()}
     rows = sums.collect()
     assert len(rows) == 20 and all(r["area_m2"] == pytest.approx(sum(whole.values()), abs=0.01) for r in rows)
+
+
+def test_shared_areas_of_many_features_equal_clipping_and_move_none_twice(spark, monkeypatch):
+    moved = {}
+    tested = kernels.tested
+
+    def noted(rows, cut, *others, **named):
+        moved["rows"], moved["zones"] = rows.count(), cut.count()
+        return tested(rows, cut, *others, **named)
+
+    monkeypatch.setattr(kernels, "tested", noted)
+    features, zones = lattice(random.Random(6), 300, [0.25, 0.7, 5.0])
+    convex = {k: [shape[0]] for k, shape in features.items()}
+    got = overlay.overlap_areas(shapes.zones(spark, convex, "feature_id"), shapes.zones(spark, zones)).collect()
+    found = {(r.feature_id, r.zone_id): r.overlap for r in got}
+    assert len(found) == len(got) > 2000 and moved["rows"] == 300 and moved["zones"] < 60 * 200
+    for z, polygons in zones.items():
+        for f, shape in convex.items():
+            want = sum(clipped_area(rings, shape[0][0]) for rings in polygons)
+            assert found.get((f, z), 0.0) == pytest.approx(want, abs=1e-9)
+
+
+def test_shared_areas_keep_columns_named_alike(spark):
+    left = shapes.zones(spark, {1: [[shapes.box(0, 0, 2, 2)]]}, "zone_id")
+    areas = overlay.overlap_areas(left, shapes.zones(spark, {7: [[shapes.box(1, 1, 3, 3)]]}))
+    assert areas.columns == ["overlap", "zone_id", "zone_id"] and tuple(areas.first()) == (1.0, 1, 7)
