@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import shapes
 from zonewright.functions import geometry as g
 from test_overlay import clipped_area
-from zonewright.operators import indicators, joins, kernels, overlay
+from zonewright.operators import indicators, joins, kernels, overlay, windows
 from zonewright.operators.geometry import with_area_m2
 
 
@@ -38,8 +38,9 @@ def lattice(rng, n, size):
     return features, zones
 
 
-@pytest.mark.parametrize("cell,size", [(1.0, [0.25, 0.5]), (0.5, [0.01, 1.0, 9.0]), (3.0, [0.0, 0.5])])
-def test_pairs_equal_the_plain_test(spark, cell, size):
+@pytest.mark.parametrize("cell,size,held", [(1.0, [0.25, 0.5], 1000), (0.5, [0.01, 1.0, 9.0], 1 << 26), (3.0, [0.0, 0.5], 1 << 26)])
+def test_pairs_equal_the_plain_test(spark, monkeypatch, cell, size, held):
+    monkeypatch.setattr(windows, "HELD", held)
     features, zones = lattice(random.Random(int(cell * 10)), 400, size)
     left, right = shapes.zones(spark, features, "feature_id"), shapes.zones(spark, zones)
     got = joins.spatial_join_polygons(left, right, ["feature_id"], cell=cell).collect()
@@ -92,7 +93,9 @@ def test_features_without_whole_finite_bounds_meet_nothing(spark):
     assert [tuple(r) for r in pairs] == [(6, 6)]
 
 
-def test_a_key_meets_a_zone_once_wherever_its_rows_and_pieces_lie(spark, monkeypatch):
+@pytest.mark.parametrize("held", [windows.HELD, 2000])
+def test_a_key_meets_a_zone_once_wherever_its_rows_and_pieces_lie(spark, monkeypatch, held):
+    monkeypatch.setattr(windows, "HELD", held)
     rng = random.Random(8)
     features, zones = lattice(rng, 300, [0.25, 2.0])
     left = shapes.zones(spark, features, "n").selectExpr(
